@@ -1,0 +1,11 @@
+"""Queries of the wiki operators and the SQL for the same rows."""
+
+from __future__ import annotations
+
+
+def queries() -> dict:
+    return {}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {}
