@@ -1,13 +1,54 @@
-"""The corpus pipeline: toxicity, exact copies, near copies, mixing, packing."""
+"""The corpus pipeline: toxic documents go, then exact copies, then near copies; sources are mixed; documents are packed.
+
+Each stage works on what the one before it kept. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+
+from docloom.llm.common import load, materialize
+from docloom.llm.exact_dedup import drop_copies
+from docloom.llm.mixing import mixed
+from docloom.llm.packing import pack, tokenizer_file
+from docloom.llm.simhash import one_of_each
+from docloom.llm.toxicity import THRESHOLD, model, score_toxicity
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a score below the threshold."""
+    return score_toxicity(docs, model(spark, docs, sf_dir)).where(f"score < {THRESHOLD}").drop("score")
+
+
+def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each text."""
+    return drop_copies(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate component."""
+    return one_of_each(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's target takes it."""
+    return mixed(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of power-of-two lengths."""
+    return pack(docs, tokenizer_file("byte_bpe_50k.json"))
+
+
+STAGES = [("toxicity", toxicity), ("exact dedup", exact_copies), ("simhash near-dedup", near_copies), ("mixing", mix), ("packing", packing)]
+
+#: Training, XXH64 votes and tokenizers are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; what a stage keeps is written before the next one reads it."""
+    docs = load(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

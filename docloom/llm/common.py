@@ -66,23 +66,29 @@ def text_of(docs: DataFrame, column: str = "text") -> Column:
     return F.coalesce(docs[column].cast("string"), F.lit(""))
 
 
-def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, how: str = "left") -> DataFrame:
+def join_groups(rows: DataFrame, groups: DataFrame, key: str | list[str], size: str, how: str = "left") -> DataFrame:
     """Join rows to one row per key, without one task for a hot key.
 
-    ``groups`` has one row per ``key`` and its number of rows in ``size``. Keys with at least
+    ``groups`` has one row per ``key`` (a column or several) and its number of rows in ``size``. Keys with at least
     ``HOT_SHARE`` of all rows are at most 1/HOT_SHARE many, whatever the input, so they are
     broadcast; every other key has fewer rows than that share and is joined by a shuffle.
     """
     total = groups.agg(F.sum(size)).first()[0] or 0
     least = max(1000, int(total * HOT_SHARE))
     hot = groups.where(F.col(size) >= least)
-    keys = [r[0] for r in hot.select(key).limit(int(1 / HOT_SHARE) + 1).collect()]
-    if not keys:
+    keys = [key] if isinstance(key, str) else key
+    first = list({r[0] for r in hot.select(keys[0]).limit(int(1 / HOT_SHARE) + 1).collect()})
+    if not first:
         return rows.join(groups, key, how)
-    flag = rows[key].isin(keys)
-    return rows.where(flag).join(F.broadcast(hot), key, how).unionByName(
-        rows.where(~flag | rows[key].isNull()).join(groups.where(F.col(size) < least), key, how)
-    )
+    # rows that may be of a hot key, by its first column; the few others among them find no partner there
+    flag = F.coalesce(rows[keys[0]].isin(first), F.lit(False))
+    warm = rows.where(flag)
+    cold = groups.where(F.col(size) < least)
+    rest = rows.where(~flag)
+    if len(keys) > 1:  # rows that share the first column only
+        rest = rest.unionByName(warm.join(F.broadcast(hot.select(*keys)), keys, "left_anti"))
+        warm = warm.join(F.broadcast(hot.select(*keys)), keys, "left_semi")
+    return warm.join(F.broadcast(hot), key, how).unionByName(rest.join(cold, key, how))
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -143,9 +143,21 @@ def exact_dedup(docs: DataFrame, history: DataFrame | None = None) -> DataFrame:
     is the history and the upper half is looked up in it, which gives the same groups as any split.
     An empty table gives an empty result; columns other than doc_id and text are ignored.
     """
-    text = F.regexp_replace(text_of(docs), SPACE, " ")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.sha2(text.cast("binary"), 256)).alias("digest"))
-    rows = materialize(rows, "digests")
+    rows = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), _digest(docs).alias("digest")), "digests")
+    groups = _groups(rows, history)
+    out = join_groups(rows, groups, "digest", "group_size", "inner")
+    first = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    tied = first & (F.col("n_first") > 1)
+    one = out.where(~tied).withColumn("kept", first)
+    many = out.where(tied).withColumn("kept", F.row_number().over(W.partitionBy("digest", "doc_id").orderBy("doc_id")) == 1)
+    return one.unionByName(many).select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"), "known")
+
+
+def _digest(docs: DataFrame) -> Column:
+    return F.unhex(F.sha2(F.regexp_replace(text_of(docs), SPACE, " ").cast("binary"), 256))
+
+
+def _groups(rows: DataFrame, history: DataFrame | None) -> DataFrame:
     if history is None:
         low, high = rows.agg(F.min("doc_id"), F.max("doc_id")).first()
         mid = F.lit(None if low is None else low + (high - low) // 2)
@@ -154,13 +166,20 @@ def exact_dedup(docs: DataFrame, history: DataFrame | None = None) -> DataFrame:
         n_digests = rows.count()
     else:
         old, new, n_digests = history, digest_groups(rows), history.count() + rows.count()
-    groups = materialize(match_history(old, new, n_digests), "groups")
-    out = join_groups(rows, groups, "digest", "group_size", "inner")
-    first = F.col("doc_id").eqNullSafe(F.col("keep_id"))
-    tied = first & (F.col("n_first") > 1)
-    one = out.where(~tied).withColumn("kept", first)
-    many = out.where(tied).withColumn("kept", F.row_number().over(W.partitionBy("digest", "doc_id").orderBy("doc_id")) == 1)
-    return one.unionByName(many).select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"), "known")
+    return materialize(match_history(old, new, n_digests), "groups")
+
+
+def drop_copies(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay, one of each text; rules as for :func:`exact_dedup`."""
+    rows = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), _digest(docs).alias("digest")), "digests")
+    groups = _groups(rows, None).select(F.col("digest").alias("g_digest"), "keep_id", "n_first")
+    # each text's winner is one row, so the join's key (text and doc_id) is never a hot one
+    same = (_digest(docs) == F.col("g_digest")) & F.col("doc_id").cast("long").eqNullSafe(F.col("keep_id"))
+    if groups.where("n_first > 1").isEmpty():
+        return docs.join(groups, same, "left_semi")
+    kept = docs.join(groups, same)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return kept.where("n_first = 1").select(*columns).unionByName(kept.where("n_first > 1").dropDuplicates(["g_digest"]).select(*columns))
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

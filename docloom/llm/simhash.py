@@ -51,14 +51,14 @@ def fingerprint(text: str) -> int:
 
 def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        fp = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], ["doc_id", "fp"])
+        fp = np.array([fingerprint(t) for t in batch.column(2).to_pylist()], np.uint64).view(np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fp)], ["doc_id", "mark", "fp"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) of every row; fp is the fingerprint as a signed long."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
-    return rows.mapInArrow(_prints, "doc_id long, fp long")
+    """(doc_id, mark, fp) of every row; mark is a hash of the text, fp the fingerprint as a signed long."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of(docs)).alias("mark"), text_of(docs).alias("text"))
+    return rows.mapInArrow(_prints, "doc_id long, mark long, fp long")
 
 
 @lru_cache(1)
@@ -168,27 +168,36 @@ def near_pairs(prints: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, fingerprint, n_near, component_id, fp.
+    """Per row: doc_id, fingerprint, n_near, component_id, mark (hash of the text), first (of its component).
 
     A null, empty or blank text has fingerprint zero and is linked like any other; repeated rows are
     rows of their own, linked to each other. Component ids are smallest doc_ids (nulls are left
     out of the minimum). An empty table gives an empty result; other columns are ignored.
     """
     prints = materialize(fingerprints(docs), "fingerprints")
-    classes = materialize(prints.groupBy("fp").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("low")), "classes")
+    classes = materialize(prints.groupBy("fp").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("low")), "classes")
     pairs = materialize(near_pairs(classes), "pairs")
     links = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     others = links.join(classes.select(F.col("fp").alias("b"), "n"), "b").groupBy(F.col("a").alias("fp")).agg(F.sum("n").alias("others"))
     comp = materialize(components(pairs), "components").select(F.col("node").alias("fp"), "component")
     named = classes.join(comp, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    lows = named.groupBy("component").agg(F.min("low").alias("component_id"))
+    lows = named.groupBy("component").agg(F.min("low").alias("first"))
     full = (
         named.join(lows, "component").join(others, "fp", "left")
-        .select("fp", "n", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_near"), "component_id")
+        .select("fp", "n", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_near"), F.col("first.doc_id").alias("component_id"), F.col("first.mark").alias("first_mark"))
     )
     out = join_groups(prints, materialize(full, "classes"), "fp", "n", "inner")
-    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "n_near", "component_id", "fp")
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "n_near", "component_id", "mark", (F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("mark") == F.col("first_mark"))).alias("first"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that come first in their component, by doc_id and then a hash of the text.
+
+    Of rows that share both (repeated rows) all stay; exact deduplication is for them.
+    """
+    near = near_duplicates(docs).where("first").select(F.col("doc_id").alias("n_id"), F.col("mark").alias("n_mark")).distinct()
+    return docs.join(near, F.col("doc_id").cast("long").eqNullSafe(F.col("n_id")) & (F.xxhash64(text_of(docs)) == F.col("n_mark")), "left_semi")
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(load(spark, sf_dir, "documents")).drop("fp")
+    return near_duplicates(load(spark, sf_dir, "documents")).drop("mark", "first")
