@@ -53,7 +53,7 @@ def suffix_array(data: np.ndarray) -> np.ndarray:
     """
     n = len(data)
     key = _words(data)
-    sa = np.argsort(key, kind="stable")
+    sa = np.argsort(key)
     new = np.ones(n, np.bool_)
     new[1:] = key[sa[1:]] != key[sa[:-1]]
     if n:  # a suffix of under 8 bytes is padded; a longer one with equal bytes comes after it
@@ -74,7 +74,7 @@ def suffix_array(data: np.ndarray) -> np.ndarray:
             break
         start, place = sa[at], group[at]
         follow = np.where(start + h < n, rank[np.minimum(start + h, n - 1)] + 1, 0)
-        order = np.lexsort((follow, place))
+        order = np.argsort(place * (n + 1) + follow)  # one number for both, below 2 ** 63 for any shard
         sa[at], follow = start[order], follow[order]
         fresh = np.ones(len(at), np.bool_)
         fresh[1:] = (place[1:] != place[:-1]) | (follow[1:] != follow[:-1])
