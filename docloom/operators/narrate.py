@@ -1,0 +1,84 @@
+"""Narratives: a pluggable model rewrites a section and a critic judges it; fixed text where there is no model."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import text as T
+
+#: A model: takes a task (rewrite, critique, refine, summarise) and its parts, and gives a text.
+Model = Callable[[str, dict], str]
+
+
+def design_stub(subject: Column, language: Column, code: Column) -> Column:
+    """The fixed narrative about a piece of code."""
+    first = F.get(F.filter(F.transform(T.lines(code), T.strip), lambda x: (x != "") & ~x.startswith("#")), F.lit(0))
+    topic = F.coalesce(F.nullif(subject, F.lit("")), F.concat(F.lit("this "), F.coalesce(F.nullif(language, F.lit("")), F.lit("code")), F.lit(" change")))
+    return F.concat_ws(
+        " ", F.concat(F.lit("Before writing it, here is how "), topic, F.lit(" fits together.")), F.lit("Callers already rely on what surrounds it, so it must fit in without breaking them."),
+        F.lit("The limits come first, then what can wait, and the risky parts last, with a check for each way to fail."),
+        F.when(first.isNotNull(), F.concat(F.lit("The centre is likely `"), first, F.lit("`, whose inputs and effects need a check."))),
+    )
+
+
+def joined_code(blocks: Column) -> Column:
+    """Fences of the blocks that have code."""
+    full = F.filter(blocks, lambda b: T.strip(b["code"]) != "")
+    return F.array_join(F.transform(full, lambda b: F.concat(F.lit("```"), F.coalesce(F.nullif(b["language"], F.lit("")), F.lit("text")), F.lit("\n"), T.strip(b["code"]), F.lit("\n```"))), "\n\n")
+
+
+def usable_references(blocks: Column) -> Column:
+    """(reference, code) of the blocks whose label names code other than a readme."""
+    good = F.filter(blocks, lambda b: (T.strip(b["label"]) != "") & (T.strip(b["code"]) != "") & b["label"].rlike("[A-Za-z0-9]") & ~F.lower(T.strip(b["label"])).isin("null", "none", ".", "..") & ~F.lower(b["label"]).contains("readme"))
+    return F.transform(good, lambda b: F.struct(T.strip(b["label"]).alias("reference"), T.strip(b["code"]).alias("code")))
+
+
+def augment(narrative: Column, references: Column) -> Column:
+    """The narrative followed by each reference and its code."""
+    return F.concat_ws("\n\n", F.array(narrative), F.transform(references, lambda r: F.concat(F.lit("With that plan the code goes into "), r["reference"], F.lit(":\n"), r["code"])))
+
+
+def _loop(writer: Model | None, critic: Model | None, rounds: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for r in pdf.to_dict("records"):
+                text = (writer and writer("rewrite", r)) or r["stub"]
+                answers = []
+                for k in range(rounds if critic else 1):
+                    answer = critic("critique", r | {"narrative": text}) if critic else None
+                    answers.append(answer)
+                    if answer is None or answer.strip()[:4].upper() == "PASS" or not answer.strip():
+                        break
+                    if k + 1 < rounds and writer:
+                        text = writer("refine", r | {"narrative": text, "critic": answer}) or text
+                out.append((r["row_id"], text, answers[-1], [a for a in answers if a is not None]))
+            yield pd.DataFrame(out, columns=["row_id", "narrative", "answer", "history"])
+
+    return run
+
+
+def narrate(secs: DataFrame, row_id: str, writer: Model | None = None, critic: Model | None = None, rounds: int = 1) -> DataFrame:
+    """Sections (row_id, page, section, text, code_blocks) to narrative records.
+
+    The loop runs within one task a section: write, judge, and refine until a pass or the last round. Without a model
+    the stub and a pass are the result. The score is that of the narrative before code is appended.
+    """
+    first = F.get("code_blocks", F.lit(0))
+    code = F.coalesce(first["code"], F.lit(""))
+    s = secs.withColumn("stub", design_stub(F.col("section"), F.coalesce(first["language"], F.lit("")), code))
+    if writer is None and critic is None:
+        s = s.withColumns({"narrative": T.visible_text(F.col("stub")), "answer": F.lit(None).cast("string"), "history": F.array().cast("array<string>")})
+    else:
+        got = s.select(F.col(row_id).alias("row_id"), "page", "section", "text", "stub").mapInPandas(_loop(writer, critic, rounds), "row_id long, narrative string, answer string, history array<string>")
+        s = s.join(got.withColumnRenamed("row_id", row_id), row_id).withColumn("narrative", T.visible_text(F.col("narrative")))
+    v = F.when(F.col("answer").isNull(), F.struct(F.lit("PASS").alias("verdict"), F.lit("No critic is set.").alias("text"), F.lit("none").alias("misalignment"))).otherwise(T.section_verdict(F.col("answer")))
+    s = s.withColumn("v", v).withColumn("references", usable_references(F.col("code_blocks")))
+    return s.select(
+        row_id, "page", "section", F.col("text").alias("original_context"), augment(F.col("narrative"), F.col("references")).alias("narrative"), F.col("v.text").alias("critic"),
+        F.col("v.verdict").alias("verdict"), F.col("v.misalignment").alias("misalignment"), T.learnability(F.col("narrative")).alias("learnability"), F.col("history").alias("critic_history"), F.col("references").alias("code_blocks"),
+    )
