@@ -27,7 +27,8 @@ BUCKETS, DIM, GRAMS = 1 << 16, 8, (3, 4, 5)
 SAMPLE = 4000
 EPOCHS, BATCH, RATE = 12, 64, 1.0
 THRESHOLD = 0.3
-KEEP = 500_000
+#: Words whose score, and whose buckets in training, are kept at a time.
+KEEP, BAG_KEEP = 500_000, 50_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -49,10 +50,10 @@ def _bag(text: str, seen: dict[str, list[int]]) -> tuple[np.ndarray, np.ndarray]
         rows.extend(b)
         weights.extend([n / len(b)] * len(b))
     if not rows:
-        return np.zeros(0, np.int64), np.zeros(0)
+        return np.zeros(0, np.uint16), np.zeros(0, np.float32)
     total = np.bincount(np.frombuffer(rows, np.int64), np.frombuffer(weights, np.float64))
     at = np.flatnonzero(total)
-    return at, total[at] / total[at].sum()
+    return at.astype(np.uint16 if BUCKETS <= 1 << 16 else np.int32), (total[at] / total[at].sum()).astype(np.float32)
 
 
 def train(texts: list[str], labels: list[int], prior: float, seed: int = 7) -> tuple[np.ndarray, float]:
@@ -74,7 +75,7 @@ def train(texts: list[str], labels: list[int], prior: float, seed: int = 7) -> t
         rate, order = RATE * (1 - epoch / EPOCHS), rng.permutation(full)
         for k in range(0, len(order), BATCH):
             some = order[k : k + BATCH]
-            rows = np.concatenate([bags[i][0] for i in some])
+            rows = np.concatenate([bags[i][0] for i in some]).astype(np.int64)
             weight = np.concatenate([bags[i][1] for i in some])
             sizes = np.array([len(bags[i][0]) for i in some])
             mean = np.add.reduceat(table[rows] * weight[:, None], np.cumsum(sizes) - sizes)
