@@ -6,6 +6,7 @@ Each stage works on what the one before it kept. All but the last return the col
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from docloom.llm.common import load, materialize
 from docloom.llm.exact_dedup import drop_copies
@@ -17,7 +18,10 @@ from docloom.llm.toxicity import THRESHOLD, model, score_toxicity
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a score below the threshold."""
-    return score_toxicity(docs, model(spark, docs, sf_dir)).where(f"score < {THRESHOLD}").drop("score")
+    score = "toxicity_score"
+    while score in docs.columns:
+        score += "_"
+    return score_toxicity(docs, model(spark, docs, sf_dir), column=score).where(F.col(score) < THRESHOLD).drop(score)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

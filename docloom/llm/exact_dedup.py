@@ -172,14 +172,14 @@ def _groups(rows: DataFrame, history: DataFrame | None) -> DataFrame:
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, one of each text; rules as for :func:`exact_dedup`."""
     rows = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), _digest(docs).alias("digest")), "digests")
-    groups = _groups(rows, None).select(F.col("digest").alias("g_digest"), "keep_id", "n_first")
+    groups = _groups(rows, None).select(F.col("digest").alias("__digest"), F.col("keep_id").alias("__keep"), F.col("n_first").alias("__first"))
     # each text's winner is one row, so the join's key (text and doc_id) is never a hot one
-    same = (_digest(docs) == F.col("g_digest")) & F.col("doc_id").cast("long").eqNullSafe(F.col("keep_id"))
-    if groups.where("n_first > 1").isEmpty():
+    same = (_digest(docs) == F.col("__digest")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__keep"))
+    if groups.where("__first > 1").isEmpty():
         return docs.join(groups, same, "left_semi")
     kept = docs.join(groups, same)
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    return kept.where("n_first = 1").select(*columns).unionByName(kept.where("n_first > 1").dropDuplicates(["g_digest"]).select(*columns))
+    return kept.where("__first = 1").select(*columns).unionByName(kept.where("__first > 1").dropDuplicates(["__digest"]).select(*columns))
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -82,7 +82,7 @@ def _shares(quotas: np.ndarray, shards: int, seed: int):
 
 
 def mix_plan(docs: DataFrame, seed: int = 42, weights: tuple[int, ...] = WEIGHTS, shard_words: int = SHARD_WORDS, size: str | None = None) -> DataFrame:
-    """``docs`` with its columns and ``_size, _source_size, _target, _times, _shards``; ``size``: a column with the words, if counted.
+    """``_row`` (all columns of ``docs``, whatever their names), ``_size, _source_size, _target, _times, _shards``; ``size``: a column with the words, if counted.
 
     ``_times``: how often the mix takes the document, 0, 1 or 2; ``_shards``: where, one entry for each time.
     A null text has no words and follows its block; a null source is a source of its own; repeated rows
@@ -90,7 +90,7 @@ def mix_plan(docs: DataFrame, seed: int = 42, weights: tuple[int, ...] = WEIGHTS
     """
     spark = docs.sparkSession
     key = F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"))
-    marked = docs.select(*[F.col(f"`{c}`") for c in docs.columns], (F.col(size) if size else n_words(text_of(docs))).alias("_size"), key.alias("_h"))
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("source").cast("string").alias("source"), (F.col(size) if size else n_words(text_of(docs))).alias("_size"), key.alias("_h"))
     sizes = materialize(marked.select("source", F.col("_size").alias("size"), F.col("_h").alias("h")), "sizes")
     sources = materialize(source_targets(sizes, weights), "sources")
     count = sources.count()
@@ -141,18 +141,18 @@ def mix_plan(docs: DataFrame, seed: int = 42, weights: tuple[int, ...] = WEIGHTS
     out = out.join(plan, (F.col("_sid") == F.col("b_sid")) & (F.col("_block") == F.col("b_block")))
     times = F.col("full") + (F.col("whole") | F.coalesce(F.col("_h") <= F.col("cut"), F.lit(False))).cast("int")
     out = out.withColumn("_times", times).withColumn("_shards", F.slice(F.coalesce("shards", F.array().cast("array<int>")), 1, F.col("_times")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], "_size", "_source_size", "_target", "_times", "_shards", "_h")
+    return out.select("_row", "_size", "_source_size", "_target", "_times", "_shards", "_h")
 
 
 def mixed(docs: DataFrame, seed: int = 42, **options) -> DataFrame:
     """The mix itself: each document as often as it is taken, shard by shard, in random order within a shard."""
     plan = mix_plan(docs, seed, **options)
-    rows = plan.select(*[F.col(f"`{c}`") for c in docs.columns], F.posexplode("_shards").alias("_copy", "_shard"), F.xxhash64(F.lit(seed + 1), "_h", "_copy").alias("_order"))
-    return rows.repartition("_shard", F.pmod("_order", F.lit(64))).sortWithinPartitions("_shard", "_order").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = plan.select("_row", F.posexplode("_shards").alias("_copy", "_shard"), F.xxhash64(F.lit(seed + 1), "_h", "_copy").alias("_order"))
+    return rows.repartition("_shard", F.pmod("_order", F.lit(64))).sortWithinPartitions("_shard", "_order").select("_row.*")
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     docs = materialize(docs.select("doc_id", "source", n_words(text_of(docs)).alias("size")), "sizes")
     plan = mix_plan(docs, size="size")
-    return plan.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), (F.col("_times") * F.col("_size")).cast("long").alias("taken"), F.col("_times").alias("times"), F.col("_shards").alias("shards"))
+    return plan.select(F.col("_row.doc_id").alias("doc_id"), F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), (F.col("_times") * F.col("_size")).cast("long").alias("taken"), F.col("_times").alias("times"), F.col("_shards").alias("shards"))

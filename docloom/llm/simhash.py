@@ -195,8 +195,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     Of rows that share both (repeated rows) all stay; exact deduplication is for them.
     """
-    near = near_duplicates(docs).where("first").select(F.col("doc_id").alias("n_id"), F.col("mark").alias("n_mark")).distinct()
-    return docs.join(near, F.col("doc_id").cast("long").eqNullSafe(F.col("n_id")) & (F.xxhash64(text_of(docs)) == F.col("n_mark")), "left_semi")
+    near = near_duplicates(docs).where("first").select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).distinct()
+    return docs.join(near, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(text_of(docs)) == F.col("__mark")), "left_semi")
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -99,7 +99,10 @@ def train(texts: list[str], labels: list[int], prior: float, seed: int = 7) -> t
 
 def _fit(prior: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches)).sort_values(["doc_id", "text"])
+        parts = [p for p in batches if len(p)]
+        if not parts:
+            return  # labels, but none of their documents
+        rows = pd.concat(parts).sort_values(["doc_id", "text"])
         scores, bias = train(rows["text"].tolist(), rows["toxic"].astype(int).tolist(), prior)
         yield pd.DataFrame({"weights": [np.r_[scores, bias].astype("<f8").tobytes()]})
 
@@ -143,13 +146,13 @@ def _score(weights):
         bias, seen = float(table[-1]), _Scores(table.tolist())
         for batch in batches:
             out = []
-            for text in batch.column(1).to_pylist():
+            for text in batch.column(0).to_pylist():
                 words = _WORD.findall(text.lower())
                 z = bias + (sum(map(seen.__getitem__, words)) / len(words) if words else 0.0)
                 out.append(1.0 / (1.0 + np.exp(-z)) if z > -700 else 0.0)
                 if len(seen) > KEEP:
                     seen.clear()
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(2, batch.num_columns)), pa.array(out, pa.float64())], [*batch.schema.names[2:], "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(out, pa.float64())], ["row", "score"])
 
     return run
 
@@ -159,18 +162,19 @@ def held_out(doc_id) -> "F.Column":
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def score_toxicity(docs: DataFrame, weights: np.ndarray, keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (all by default) and the score of every row, from its text alone.
+def score_toxicity(docs: DataFrame, weights: np.ndarray, keep: list[str] | None = None, column: str = "score") -> DataFrame:
+    """The columns ``keep`` (all by default) and the score of every row, from its text alone, as ``column``.
 
-    A null or empty text, or one without a letter, has the score of the bias. Repeated rows have equal scores.
+    A null or empty text, or one without a letter, has the score of the bias. Repeated rows have equal scores. An
+    empty table gives an empty result.
     """
     keep = docs.columns if keep is None else keep
     shared = docs.sparkSession.sparkContext.broadcast(weights)
-    rows = docs.select(F.lit(0).alias("_"), text_of(docs).alias("_text"), *[F.col(f"`{c}`") for c in keep])
-    schema = docs.select(*[F.col(f"`{c}`") for c in keep], F.lit(0.0).alias("score")).schema
+    rows = docs.select(text_of(docs).alias("text"), F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"))
+    schema = rows.select("row", F.lit(0.0).alias("score")).schema
     for field in schema:
         field.nullable = True
-    return rows.mapInArrow(_score(shared), schema)
+    return rows.mapInArrow(_score(shared), schema).select("row.*", F.col("score").alias(column))
 
 
 def model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> np.ndarray:
