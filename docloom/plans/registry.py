@@ -370,7 +370,7 @@ def content_filter(spark, d):
 @query(f"SELECT conv_id, 'Assist' AS name, section_key FROM {_SECTIONS} WHERE section_key = 'assistant'")
 def section_resolution(spark, d):
     s = wiki.sections(_wiki(spark, d), "conv_id", "md")
-    return wiki.resolve_section(s.select("conv_id", F.lit("Assist").alias("name")).distinct(), s, ["conv_id"], "name").select("conv_id", "name", "section_key")
+    return wiki.resolve_section(s.select("conv_id", F.lit("Assist").alias("name")).distinct(), s, ["conv_id"], "name").where("tier < 3").select("conv_id", "name", "section_key")
 
 
 @query()
