@@ -317,7 +317,7 @@ def test_pages(spark):
     rows = [(1, "http://a.b/x/1", frame.format("<p>first</p>")), (2, "http://a.b/x/2", frame.format("<p>second</p>")), (3, "http://c.d/", frame.format(article)), (4, None, None), (5, "", ""), (6, "http://a.b/x/1", frame.format("<p>first</p>")), (None, "http://e.f/", "<p>cut &am")]
     df = spark.createDataFrame([(*r, 1) for r in rows], "page_id long, url string, html string, host int").coalesce(1)
     got = {x.page_id: (x.text, x.n_chars) for x in html_diff.extract_pages(df).collect()}
-    assert got[3] == ("T & t\nonetwo three four\nfive", 27)
+    assert got[3] == ("T & t\nonetwo three four\nfive", 28)
     assert got[4] == got[5] == ("", 0) and got[None][0] == "cut &am" and len(got) == 7
     assert got[1][0].startswith(("first", "site name")) and got[1] == got[6]
     assert html_diff.extract_pages(df.limit(0)).count() == 0
