@@ -25,12 +25,30 @@ _RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe"
 _SKIP = {"nav", "footer", "aside", "form", "head", "svg", "button", "select", "dialog", "menu", "object", "canvas", "audio", "video", "map", "math"}
 _BLOCK = set("address article blockquote body caption center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 header hr html legend li main ol p pre section summary table tbody td tfoot th thead tr ul".split()) | _SKIP
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-_NOISE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adv|adverts?|advertisements?|adsense|sponsor(?:ed|s)?|promos?|promotions?|banners?|cookies?|consent|gdpr|notices?|alerts?|newsletter|subscribe|subscription|signup|login|"
-    r"sidebars?|side|menus?|nav|navbar|navigation|breadcrumbs?|footers?|comments?|replies|respond|disqus|discussion|share|sharing|social|related|recommended|popups?|modals?|overlay|toolbar|widgets?|search|contentinfo|complementary|skip)(?:$|[\s_-])",
-    re.I,
+#: Words of the names that are never content. A class, id or role counts where every part of the whole name is one of them.
+_NOISE = set(
+    "ad ads adv advert adverts advertisement advertisements adsense sponsor sponsored sponsors promo promos promotion promotions banner banners cookie cookies consent gdpr notice notices alert alerts newsletter subscribe subscription signup login "
+    "sidebar sidebars side menu menus nav navbar navigation breadcrumb breadcrumbs footer footers comment comments reply replies respond disqus discussion share sharing social related recommended popup popups modal modals overlay toolbar widget widgets search contentinfo complementary skip".split()
 )
-_HEAD = re.compile(r"(?:^|[\s_-])(?:header|masthead|topbar|banner)(?:$|[\s_-])", re.I)
+_FRAME = {"header", "masthead", "topbar", "banner"}
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+_HOLDS = {False: re.compile(r"<(?:article|main)\b", re.I), True: re.compile(r"<(?:article|main|h1)\b", re.I)}
+#: Elements whose end tag may be omitted, with the start tags that end them.
+_ROW = {"tr", "tbody", "thead", "tfoot"}
+_ENDS = {"p": _BLOCK, "li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "td": {"td", "th"} | _ROW, "th": {"td", "th"} | _ROW, "tr": _ROW, "option": {"option", "optgroup"}}
+
+
+def _noisy(name: str, attrs: str, in_article: bool) -> bool:
+    """Whether an element's own names say that it is a menu, a notice or the like; an id counts outside articles only."""
+    for key, value in _ATTR.findall(attrs):
+        key, value = key.lower(), value.strip("\"'").lower()
+        if key == "id" and (in_article or name in ("section", "article")):
+            continue
+        for token in [value] if key == "aria-label" else value.split():
+            parts = [x for x in re.split(r"[-_]+", token) if x]
+            if parts and (all(x in _NOISE for x in parts) or (not in_article and token in _FRAME)):
+                return True
+    return False
 
 
 def blocks(page: str) -> tuple[list[str], bool]:
@@ -76,14 +94,16 @@ def blocks(page: str) -> tuple[list[str], bool]:
             continue
         skip = name in _SKIP or (name == "header" and not depth["article"])
         raw = name in _RAW
-        if not skip and not raw and m[3] and name not in ("html", "body", "main"):
-            said = " ".join(v.strip("\"'") for _, v in _ATTR.findall(m[3]))
-            skip = bool(said) and (bool(_NOISE.search(said)) or (not depth["article"] and bool(_HEAD.search(said))))
+        if not skip and not raw and m[3] and name not in _HEADINGS and name not in ("html", "body", "main"):
+            skip = _noisy(name, m[3], bool(depth["article"]))
         if raw or skip:
-            if name in _BLOCK or skip:
-                close()
-            at = _past(page, at, name, raw)
-            continue
+            past = _past(page, at, name, raw)
+            # what holds the article is no menu, whatever it is called
+            if raw or name == "head" or depth["article"] or found["article"] or not (name == "article" or _HOLDS[name not in _SKIP].search(page, at, past)):
+                if name in _BLOCK or skip:
+                    close()
+                at = past
+                continue
         if name in _BLOCK:
             close()
         if name in depth:
@@ -96,22 +116,41 @@ def blocks(page: str) -> tuple[list[str], bool]:
 
 
 def _past(page: str, at: int, name: str, raw: bool) -> int:
-    """The place after the end tag that matches; the page's end where there is none."""
+    """The place after the element that has begun: its end tag, or the tag that ends it where that may be omitted.
+
+    The page's end where there is none.
+    """
     if raw:
         m = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
         return m.end() if m else len(page)
-    open_ = 1
+    inside = [name]
     while (m := _TAG.search(page, at)) is not None:
         at = m.end()
         if m[2] is None:
             continue
         other = m[2].lower()
-        if not m[1] and other in _RAW:
+        if m[1]:
+            if other in inside:
+                while inside.pop() != other:
+                    pass
+                if not inside:
+                    return at
+            elif name in _ENDS and other in _BLOCK and other != "p":  # the end of what the element stands in
+                return m.start()
+            continue
+        while inside:
+            k = len(inside) - 1
+            while k > 0 and inside[k] not in _BLOCK and inside[k] not in _ENDS:  # inline elements do not stop it
+                k -= 1
+            if other not in _ENDS.get(inside[k], ()):
+                break
+            del inside[k:]
+        if not inside:
+            return m.start()
+        if other in _RAW:
             at = _past(page, at, other, True)
-        elif other == name:
-            open_ += -1 if m[1] else not m[3].endswith("/")
-            if open_ == 0:
-                return at
+        elif other not in _VOID and not m[3].endswith("/"):
+            inside.append(other)
     return len(page)
 
 

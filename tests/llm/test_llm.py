@@ -323,6 +323,18 @@ def test_pages(spark):
     assert html_diff.extract_pages(df.limit(0)).count() == 0
 
 
+def test_noise_takes_no_content():
+    text = lambda page: html_diff.blocks(page)[0]
+    assert text('<div class="layout has-sidebar"><article><p>one</article></div>') == ["one"]
+    assert text('<div class="sidebar-right content"><p>one</div>') == ["one"]
+    assert text('<div class="sidebar"><main><p>one</main></div>') == ["one"]
+    assert text('<article class="post comments-open"><p>one</article>') == ["one"]
+    assert text('<article><section id="discussion"><h2 id="related-work">a</h2><p>b</section><h2 id="search">c</h2></article>') == ["a", "b", "c"]
+    assert text("<article><p class=notice>no<p>one<ul><li class=share>no <p>no<li>two</ul><p class=ad>no</article>") == ["one", "two"]
+    assert text("<article><table><tr><td class=ad>no<td>one<tr class=promo><td>no<tr><td>two</table></article>") == ["one", "two"]
+    assert text('<p>a<div class="cookie-banner"><p>no<div>no</div></div><div class="comments">no</div>b') == ["a", "b"]
+
+
 def test_common_lines_are_longest():
     r = random.Random(2)
     for _ in range(300):
