@@ -2,9 +2,10 @@
 
 Pages are sorted by host and path over the cluster, so a page's neighbour in the order is the page whose
 path is nearest; a busy host is many partitions, not one. A page is parted into text blocks, and
-those of elements that are never content (menus, forms, notices and so on) are left out. Where the markup names
-the article, its blocks are the text, whole: a passage that two articles share stays. Everywhere else the blocks are aligned
-with the neighbour's by longest common subsequence, and the shared ones, the site's frame, are deleted.
+those of elements that are never content (menus, forms, notices and so on) are left out. The blocks are aligned
+with the neighbour's by longest common subsequence, and the shared ones, the site's frame, are deleted. Where the markup names
+the article and the bulk of the prose stands in it, the text is what it holds; there shared headings and
+passages of ``PROSE`` words stay, and nothing goes where the neighbour is a near copy.
 """
 
 from __future__ import annotations
@@ -51,13 +52,20 @@ def _noisy(name: str, attrs: str, in_article: bool) -> bool:
     return False
 
 
-def blocks(page: str) -> tuple[list[str], bool]:
-    """The text blocks of a page in order, and whether they are those of a named article.
+#: A block of so many words is a passage: it tells where the main text is, and stays in an article though the neighbour has it.
+PROSE = 20
+#: The part of a block: outside of the main text, in it, in a named article, and there a heading or passage.
+OUTSIDE, INSIDE, NAMED, SPARED = range(4)
+
+
+def parts(page: str) -> tuple[list[str], list[int]]:
+    """The text blocks of a page in order, and the part of each.
 
     Character references are decoded, white space in a block is one space, blank blocks are left out.
     """
-    found: dict[str, list[str]] = {"article": [], "main": [], "": []}
+    found: list[tuple[str, str, bool]] = []  # text, named element, in a heading
     depth = {"article": 0, "main": 0}
+    heading, article = False, False
     part: list[str] = []
     at, n = 0, len(page)
 
@@ -66,7 +74,7 @@ def blocks(page: str) -> tuple[list[str], bool]:
             text = " ".join(html.unescape("".join(part)).split())
             part.clear()
             if text:
-                found["article" if depth["article"] else "main" if depth["main"] else ""].append(text)
+                found.append((text, "article" if depth["article"] else "main" if depth["main"] else "", heading))
 
     while at < n:
         m = _TAG.search(page, at)
@@ -82,6 +90,7 @@ def blocks(page: str) -> tuple[list[str], bool]:
         if m[1]:
             if name in _BLOCK:
                 close()
+                heading = heading and name not in _HEADINGS
             if name in depth and depth[name]:
                 depth[name] -= 1
             continue
@@ -99,20 +108,43 @@ def blocks(page: str) -> tuple[list[str], bool]:
         if raw or skip:
             past = _past(page, at, name, raw)
             # what holds the article is no menu, whatever it is called
-            if raw or name == "head" or depth["article"] or found["article"] or not (name == "article" or _HOLDS[name not in _SKIP].search(page, at, past)):
+            if raw or name == "head" or article or not (name == "article" or _HOLDS[name not in _SKIP].search(page, at, past)):
                 if name in _BLOCK or skip:
                     close()
                 at = past
                 continue
         if name in _BLOCK:
             close()
+            heading = name in _HEADINGS
         if name in depth:
             depth[name] += 1
+            article = article or name == "article"
     close()
-    for kind in ("article", "main"):
-        if found[kind]:
-            return found[kind], True
-    return found[""], False
+    lines = [x[0] for x in found]
+    words = [len(x.split()) for x in lines]
+    for kinds in (("article",), ("article", "main")):
+        inside = [x[1] in kinds for x in found]
+        prose = [0, 0]
+        for n, a in zip(words, inside, strict=True):
+            prose[a] += n * (n >= PROSE)
+        if any(inside) and prose[1] >= prose[0]:
+            return lines, [(SPARED if x[2] or n >= PROSE else NAMED) if a else OUTSIDE for x, n, a in zip(found, words, inside, strict=True)]
+    return lines, [INSIDE] * len(lines)
+
+
+def blocks(page: str) -> list[str]:
+    """The blocks of the main text before differencing."""
+    return [x for x, k in zip(*parts(page), strict=True) if k != OUTSIDE]
+
+
+def difference(lines: list[str], kinds: list[int], other: list[str] | None) -> str:
+    """The main text without what it shares with another page of the host."""
+    shared = [False] * len(lines) if other is None else common_lines(lines, other)
+    if NAMED in kinds or SPARED in kinds:
+        size = [len(x) * (k != OUTSIDE) for x, k in zip(lines, kinds, strict=True)]
+        near_copy = 2 * sum(n for n, s in zip(size, shared, strict=True) if s) > sum(size)
+        shared = [s and k != SPARED and not near_copy for s, k in zip(shared, kinds, strict=True)]
+    return "\n".join(x for x, s, k in zip(lines, shared, kinds, strict=True) if k != OUTSIDE and not s)
 
 
 def _past(page: str, at: int, name: str, raw: bool) -> int:
@@ -206,19 +238,14 @@ def _near(a: str, b: str) -> int:
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pages come sorted by host and path; equal neighbours stand together and are no help to each other."""
     out: list[tuple] = []
-    before: tuple | None = None  # the group ahead: host, path, blocks
+    before: tuple | None = None  # the group ahead: host, path, blocks, their parts
     group: list[tuple] = []  # rows of the present group
     present: tuple | None = None
 
     def end(after: tuple | None) -> None:
-        host, path, lines, named = present
-        text = lines
-        if not named:
-            beside = [x for x in (before, after) if x is not None and x[0] == host and not x[3]]
-            if beside:
-                other = max(beside, key=lambda x: _near(x[1], path))
-                text = [x for x, s in zip(lines, common_lines(lines, other[2]), strict=True) if not s]
-        joined = "\n".join(text)
+        host, path, lines, kinds = present
+        beside = [x for x in (before, after) if x is not None and x[0] == host]
+        joined = difference(lines, kinds, max(beside, key=lambda x: _near(x[1], path))[2] if beside else None)
         out.extend((page_id, url, joined, len(joined)) for page_id, url in group)
 
     def flush() -> pa.RecordBatch:
@@ -229,12 +256,12 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for page_id, url, page in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
             host, path = _key(url)
-            lines, named = blocks(page)
-            if present is not None and (named or present[3] or host != present[0] or lines != present[2]):
-                end((host, path, lines, named))
+            lines, kinds = parts(page)
+            if present is not None and (host != present[0] or lines != present[2] or kinds != present[3]):
+                end((host, path, lines, kinds))
                 before, group = present, []
             if not group:
-                present = (host, path, lines, named)
+                present = (host, path, lines, kinds)
             group.append((page_id, url))
         yield flush()
     if group:

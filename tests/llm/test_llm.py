@@ -324,7 +324,7 @@ def test_pages(spark):
 
 
 def test_noise_takes_no_content():
-    text = lambda page: html_diff.blocks(page)[0]
+    text = html_diff.blocks
     assert text('<div class="layout has-sidebar"><article><p>one</article></div>') == ["one"]
     assert text('<div class="sidebar-right content"><p>one</div>') == ["one"]
     assert text('<div class="sidebar"><main><p>one</main></div>') == ["one"]
@@ -335,6 +335,19 @@ def test_noise_takes_no_content():
     assert text('<p>a<div class="cookie-banner"><p>no<div>no</div></div><div class="comments">no</div>b') == ["a", "b"]
 
 
+def test_named_articles_are_differenced(spark):
+    words = " ".join(f"w{i}" for i in range(25))
+    page = "<div>frame</div><article><h2>References</h2><p>Read our offer<p>{}<p>%s</article>" % words
+    rows = [("http://a.b/1", page.format("first story of its own, long enough " * 5)), ("http://a.b/2", page.format("second tale with other words in it " * 5))]
+    rows += [("http://c.d/1", page.format("copy one")), ("http://c.d/2", page.format("copy two"))]
+    rows += [("http://e.f/1", page.format("x y z")), ("http://e.f/2", "<div>frame</div><p>plain")]
+    rows += [("http://g.h/", f"<article><p>teaser</article><div>{words}</div>")]
+    got = {x.url: x.text.split("\n") for x in html_diff.extract_pages(spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string").coalesce(1)).collect()}
+    assert [len(got[f"http://a.b/{i}"]) for i in (1, 2)] == [3, 3] and "Read our offer" not in got["http://a.b/1"] and "References" in got["http://a.b/1"] and words in got["http://a.b/1"]
+    assert got["http://c.d/1"] == ["References", "Read our offer", "copy one", words]
+    assert got["http://e.f/2"] == ["plain"] and got["http://g.h/"] == ["teaser", words]
+
+
 def test_common_lines_are_longest():
     r = random.Random(2)
     for _ in range(300):
