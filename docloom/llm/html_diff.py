@@ -11,14 +11,16 @@ passages of ``PROSE`` words stay, and nothing goes where the neighbour is a near
 from __future__ import annotations
 
 import html
+import json
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import load, shuffle_partitions
+from .common import load, materialize, shuffle_partitions
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*)(?:>|\Z)""", re.S)
 _ATTR = re.compile(r"""\b(class|id|role|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
@@ -235,36 +237,114 @@ def _near(a: str, b: str) -> int:
     return n
 
 
+class _Group:
+    """Pages that stand together and have the same blocks; they are no help to each other."""
+
+    def __init__(self, host: str, first: str, last: str, lines: list[str], kinds: list[int]):
+        self.host, self.first, self.last, self.lines, self.kinds = host, first, last, lines, kinds
+
+    def same(self, x: _Group) -> bool:
+        return self.host == x.host and self.lines == x.lines and self.kinds == x.kinds
+
+    def text(self, before: _Group | None, after: _Group | None) -> str:
+        """The main text, given the groups ahead and behind: the one with the nearer path is the partner."""
+        beside = [(_near(x.last if x is before else x.first, self.first if x is before else self.last), x) for x in (before, after) if x is not None and x.host == self.host]
+        return difference(self.lines, self.kinds, max(beside, key=lambda x: x[0])[1].lines if beside else None)
+
+    def pack(self) -> bytes:
+        return zlib.compress(json.dumps([self.host, self.first, self.last, self.lines, self.kinds]).encode())
+
+    @staticmethod
+    def unpack(raw: bytes) -> _Group:
+        return _Group(*json.loads(zlib.decompress(raw)))
+
+
+def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The blocks of each page, packed, so that the shuffle and the disk have little to hold."""
+    for batch in batches:
+        packed = [zlib.compress(json.dumps(parts(page), ensure_ascii=False).encode("utf-8", "surrogatepass"), 6) for page in batch.column(0).to_pylist()]
+        yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(1, batch.num_columns)), pa.array(packed, pa.binary())], [*batch.schema.names[1:], "blocks"])
+
+
+_PARTS = "page_id long, url string, part int, edge int, text string, kept binary"
+
+
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages come sorted by host and path; equal neighbours stand together and are no help to each other."""
+    """Pages come sorted by host and path. Those of the first and the last group of the partition have an ``edge``,
+    and no text yet; what their texts need follows as at most four groups with ``kept``, in order.
+    """
     out: list[tuple] = []
-    before: tuple | None = None  # the group ahead: host, path, blocks, their parts
-    group: list[tuple] = []  # rows of the present group
-    present: tuple | None = None
-
-    def end(after: tuple | None) -> None:
-        host, path, lines, kinds = present
-        beside = [x for x in (before, after) if x is not None and x[0] == host]
-        joined = difference(lines, kinds, max(beside, key=lambda x: _near(x[1], path))[2] if beside else None)
-        out.extend((page_id, url, joined, len(joined)) for page_id, url in group)
+    part: int | None = None
+    number = 0  # of the present group
+    before: _Group | None = None
+    present: _Group | None = None
+    rows: list[tuple] = []  # of the present group
+    kept: list[tuple[int, _Group]] = []  # the first two and the last two groups
+
+    def end(after: _Group | None) -> None:
+        nonlocal kept, number
+        edge = number if number == 0 or after is None else None
+        text = None if edge is not None else present.text(before, after)
+        out.extend((page_id, url, part, edge, text, None) for page_id, url in rows)
+        kept = [*kept[:2], *kept[2:][-1:], (number, present)]
+        number += 1
 
     def flush() -> pa.RecordBatch:
-        cols = list(zip(*out, strict=True)) if out else [[]] * 4
+        cols = list(zip(*out, strict=True)) if out else [[]] * 6
         out.clear()
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.string(), pa.int64()), strict=True)], ["page_id", "url", "text", "n_chars"])
+        types = (pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["page_id", "url", "part", "edge", "text", "kept"])
 
     for batch in batches:
-        for page_id, url, page in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+        for page_id, url, packed, at in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            part = at
             host, path = _key(url)
-            lines, kinds = parts(page)
-            if present is not None and (host != present[0] or lines != present[2] or kinds != present[3]):
-                end((host, path, lines, kinds))
-                before, group = present, []
-            if not group:
-                present = (host, path, lines, kinds)
-            group.append((page_id, url))
+            now = _Group(host, path, path, *json.loads(zlib.decompress(packed).decode("utf-8", "surrogatepass")))
+            if present is None:
+                present = now
+            elif present.same(now):
+                present.last = path
+            else:
+                end(now)
+                before, present, rows = present, now, []
+            rows.append((page_id, url))
+        yield flush()
+    if present is not None:
+        end(None)
+        # a group that both of the bounds have is one; of more than two, only the first and the last wait
+        out.extend((None, None, part, k, None, g.pack()) for k, g in kept)
+        yield flush()
+
+
+def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts of the groups at the edges, from the groups of all partitions in order; three are held at a time."""
+    out: list[tuple] = []
+    before: _Group | None = None
+    present: _Group | None = None
+    places: list[tuple[int, int]] = []
+
+    def end(after: _Group | None) -> None:
+        if places:
+            text = present.text(before, after)
+            out.extend((part, edge, text) for part, edge in places)
+
+    def flush() -> pa.RecordBatch:
+        cols = list(zip(*out, strict=True)) if out else [[]] * 3
+        out.clear()
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.string()), strict=True)], ["part", "edge", "edge_text"])
+
+    for batch in batches:
+        for part, edge, kept in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            now = _Group.unpack(kept)
+            if present is not None and present.same(now):
+                present.last = now.last
+            else:
+                if present is not None:
+                    end(now)
+                before, present, places = present, now, []
+            places.append((part, edge))
         yield flush()
-    if group:
+    if present is not None:
         end(None)
         yield flush()
 
@@ -273,15 +353,23 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row.
 
     A null or empty page, or one without any content, has the empty text. A null url is a host of its own. Repeated
-    rows give equal texts. A page whose host has no other page in its partition of the order is not differenced. An
+    rows give equal texts. The text of a page does not depend on the partitions: the groups at their edges are
+    differenced afterwards in one task, which gets at most four pages of each partition. An
     empty table gives an empty result; other columns are ignored.
     """
     url = F.coalesce(F.col("url").cast("string"), F.lit(""))
     rest = F.regexp_replace(url, r"^[a-zA-Z][\w+.-]*:/*", "")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"), F.lower(F.substring_index(rest, "/", 1)).alias("host"), F.regexp_replace(rest, r"[?#].*$", "").alias("path"))
     order = ["host", "path", "url", "page_id"]
+    rows = rows.select("html", "page_id", "url", "host", "path").mapInArrow(_parse, "page_id long, url string, host string, path string, blocks binary")
     rows = rows.repartitionByRange(shuffle_partitions(pages.sparkSession), *order).sortWithinPartitions(*order)
-    return rows.select("page_id", "url", "html").mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
+    done = materialize(rows.select("page_id", "url", "blocks", F.spark_partition_id().alias("part")).mapInArrow(_extract, _PARTS), "pages")
+    edges = done.where(F.col("kept").isNotNull()).select("part", "edge", "kept").coalesce(1).sortWithinPartitions("part", "edge")
+    texts = edges.mapInArrow(_edges, "part int, edge int, edge_text string")
+    found = done.where(F.col("kept").isNull())
+    wait = found.where(F.col("edge").isNotNull()).join(texts, ["part", "edge"], "left").select("page_id", "url", F.col("edge_text").alias("text"))
+    out = found.where(F.col("edge").isNull()).select("page_id", "url", "text").unionByName(wait)
+    return out.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def op9_html_diff(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -348,6 +348,22 @@ def test_named_articles_are_differenced(spark):
     assert got["http://e.f/2"] == ["plain"] and got["http://g.h/"] == ["teaser", words]
 
 
+def test_pages_do_not_depend_on_partitions(spark):
+    r = random.Random(9)
+    page = "<div>site name</div><p>{}<div>imprint</div>"
+    rows = [(i, f"http://{h}.b/{r.choice('xyz')}/{r.randint(0, 30)}", page.format(f"story {r.randint(0, 12)}")) for h in "acde" for i in range(20)] + [(900 + i, "http://f.b/same", page.format("same")) for i in range(30)] + [(1000, "http://g.b/1", page.format("one")), (1001, "http://g.b/2", page.format("two"))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    before, got = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in (1, 4, 13, 40):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got.append(sorted((x.page_id, x.url, x.text, x.n_chars) for x in html_diff.extract_pages(df).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(got[0]) == len(rows) and all(x == got[0] for x in got[1:])
+    assert [x[2] for x in got[1] if x[0] in (1000, 1001)] == ["one", "two"] and not any("imprint" in x[2] for x in got[1] if x[0] < 900)
+
+
 def test_common_lines_are_longest():
     r = random.Random(2)
     for _ in range(300):
