@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 from .common import load, materialize, text_of
 
 FEATURES = ("f_length", "f_word", "f_symbol", "f_lines", "f_repeat")
-#: Share of the rows that the estimate rests on, steps, and rows a group must have for a verdict.
+#: Share of the rows that the estimate rests on, steps, and sound rows a group must have for an estimate of its own.
 SHARE, STEPS, LEAST = 0.75, 6, 30
+#: Stands for all languages or all sources in the key of a pooled estimate.
+POOL = "\0\0"
 #: Squared distances beyond this are outliers: the 1 - 1e-7 quantile of chi-square with 5 degrees of freedom.
 CUTOFF = 41.15
 #: Smallest standard deviation of a feature, in its own unit, that an estimate may have.
@@ -113,12 +115,24 @@ def _distance(at: str, inv: str) -> Column:
 
 
 def robust_estimates(features: DataFrame) -> DataFrame:
-    """lang, source, n, mean, inv: the estimate of each group with at least ``LEAST`` rows.
+    """lang, source, mean, inv: the estimate for each language and source.
 
-    The start is the mean and covariance of all rows that pass the fixed rules.
+    Groups with fewer than ``LEAST`` sound rows take that of all sound rows of their language, and where these are too few
+    as well, that of all sound rows. The start is the mean and covariance of all rows that pass the fixed rules.
     """
     sound = features.where(~F.col("base_failed"))
-    size = sound.groupBy("lang", "source").count().where(F.col("count") >= LEAST).withColumnRenamed("count", "n_all")
+    groups = materialize(features.groupBy("lang", "source").agg(F.count_if(~F.col("base_failed")).alias("n")), "groups")
+    n_lang = groups.groupBy("lang").agg(F.sum("n").alias("n_lang"))
+    own, pooled = F.col("n") >= LEAST, F.col("n_lang") >= LEAST
+    key = groups.join(n_lang, "lang").select("lang", "source", F.when(own | pooled, F.col("lang")).otherwise(POOL).alias("at_lang"), F.when(own, F.col("source")).otherwise(POOL).alias("at_source"))
+    key = materialize(key, "keys")
+    pools = key.where(F.col("at_source") == POOL).select("at_lang").distinct()
+    by_lang = sound.join(pools.withColumnRenamed("at_lang", "lang"), "lang", "left_semi").withColumn("source", F.lit(POOL))
+    over_all = sound.withColumns({"lang": F.lit(POOL), "source": F.lit(POOL)})
+    sound = sound.join(key.where(F.col("at_source") != POOL).select("lang", "source"), ["lang", "source"], "left_semi").unionByName(by_lang)
+    if pools.where(F.col("at_lang") == POOL).head(1):
+        sound = sound.unionByName(over_all)
+    size = materialize(sound.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n_all")), "sizes")
     schema = "lang string, source string, mean array<double>, inv array<double>"
     est = materialize(_moments(sound).mapInPandas(_invert, schema).join(size, ["lang", "source"]), "estimates")
     bin_ = F.floor(F.log1p("d2") * 512).cast("int")  # a bin is 0.2 % wide
@@ -130,19 +144,20 @@ def robust_estimates(features: DataFrame) -> DataFrame:
         limit = counts.withColumn("before", F.sum("c").over(w) - F.col("c")).where(F.col("before") < SHARE * F.col("n_all")).groupBy("lang", "source").agg(F.max("bin").alias("last"))
         inner = near.join(limit, ["lang", "source"]).where("bin <= last")
         est = materialize(_moments(inner).mapInPandas(_invert, schema).join(size, ["lang", "source"]), "estimates")
-    return est
+    est = est.select(F.col("lang").alias("at_lang"), F.col("source").alias("at_source"), "mean", "inv")
+    return key.join(est, ["at_lang", "at_source"]).select("lang", "source", "mean", "inv")
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
     """Statistics and verdict of every row.
 
     A null or empty text has no words and fails the fixed rules. Nulls in lang or source are a group of their
-    own. Groups with fewer than ``LEAST`` sound rows have no estimate, so the fixed rules decide alone. Repeated
+    own. Groups with fewer than ``LEAST`` sound rows are judged by a pooled estimate. Repeated
     rows are judged alike; an empty table gives an empty result.
     """
     stats = materialize(document_statistics(docs), "statistics")
     features = _features(stats)
-    out = features.join(robust_estimates(features).drop("n_all"), ["lang", "source"], "left").withColumn("distance2", F.when(F.col("mean").isNotNull(), _distance("mean", "inv")))
+    out = features.join(robust_estimates(features), ["lang", "source"], "left").withColumn("distance2", F.when(F.col("mean").isNotNull(), _distance("mean", "inv")))
     kept = ~F.col("base_failed") & (F.col("distance2").isNull() | (F.col("distance2") <= CUTOFF))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "distance2")
 

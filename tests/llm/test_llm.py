@@ -176,6 +176,17 @@ def test_quality_rules(spark, docs, empty):
     assert quality_rules.quality_rules(empty).count() == 0
 
 
+def test_quality_rules_judges_small_groups(spark):
+    r = random.Random(6)
+    good = lambda: " ".join("".join(r.choice("abcdefgh") for _ in range(r.randint(2, 9))) for _ in range(r.randint(80, 400)))
+    junk = lambda: " ".join("$%#" + "x" * r.randint(2, 9) for _ in range(100))
+    rows = [(i, good(), "en", f"s{i % 20}") for i in range(200)] + [(1000 + i, junk(), "en", f"s{i}") for i in range(5)]
+    rows += [(2000, good(), "xx", None), (2001, junk(), "xx", None), (2002, "short", "yy", "z")]
+    got = {x.doc_id: x for x in quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert len(got) == len(rows) and all(x.distance2 is not None for x in got.values())
+    assert all(got[i].kept for i in [*range(200), 2000]) and not any(got[i].kept for i in [*range(1000, 1005), 2001, 2002])
+
+
 # 5
 def test_unit_dedup(docs, empty, spark):
     got = unit_dedup.unit_dedup(docs).collect()
