@@ -91,6 +91,16 @@ def unit_dedup(docs: DataFrame, kind: str = "line", min_words: int = MIN_WORDS)
     return rows.join(gone, ["rank", "mark"], "left").select("doc_id", "text", "gone").mapInArrow(_cut(kind), "doc_id long, n_units long, n_removed long, removed_chars long, spans string, kept_text string")
 
 
+def passage_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """doc_id and kept_text of every row, without repeated paragraphs and then without repeated lines.
+
+    White space is one space in a digest, so a wrapped paragraph is found whatever the width of its lines. Units under
+    ``min_words`` stay; with 1, every unit that is not blank is hashed.
+    """
+    left = unit_dedup(docs, "paragraph", min_words).select("doc_id", F.col("kept_text").alias("text"))
+    return unit_dedup(left, "line", min_words).select("doc_id", "kept_text")
+
+
 def op5_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = unit_dedup(load(spark, sf_dir, "documents"))
     return out.withColumn("kept_sha256", F.sha2(F.col("kept_text").cast("binary"), 256)).drop("kept_text")

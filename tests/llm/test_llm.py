@@ -202,6 +202,17 @@ def test_unit_dedup(docs, empty, spark):
     assert [x.n_removed for x in got] == [0, 1] and got[1].kept_text == "z"
 
 
+def test_passage_dedup_finds_wrapped_text(spark, docs, empty):
+    words = [f"w{i}" for i in range(60)]
+    wrap = lambda n: "\n".join(" ".join(words[i : i + n]) for i in range(0, 60, n))
+    rows = spark.createDataFrame([(1, "a\n\n" + wrap(12)), (2, "b\n\n" + wrap(9)), (3, wrap(12) + "\n\nc")], "doc_id long, text string")
+    got = {x.doc_id: x.kept_text for x in unit_dedup.passage_dedup(rows).collect()}
+    assert got == {1: "a\n\n" + wrap(12), 2: "b", 3: "c"}
+    lines = spark.createDataFrame([(1, "a\n" + wrap(12)), (2, "b\n" + wrap(12))], "doc_id long, text string")
+    assert {x.doc_id: x.kept_text for x in unit_dedup.passage_dedup(lines, 1).collect()}[2] == "b"
+    assert unit_dedup.passage_dedup(docs).count() == len(ROWS) and unit_dedup.passage_dedup(empty).count() == 0
+
+
 # 6
 def test_packing(spark, docs, empty):
     from tokenizers import Tokenizer
