@@ -128,3 +128,19 @@ def test_sources_and_sinks(spark, tmp_path):
     rec = spark.createDataFrame([("r", "p", "s", "o", "n", "c", "PASS", "none", 0.5, ["h"], [("x.py", "y")])], readers.RECORD)
     sinks.write_narratives(rec, str(tmp_path / "n"))
     assert readers.narratives(spark, str(tmp_path / "n")).count() == 1
+
+
+def test_narrative_templates(spark):
+    from docloom.operators import narrate
+
+    schema = "id int, repo string, file string, symbol string, code string, language string, body string, design_intent string, summary string, design_sources array<string>, used_by array<string>"
+    rows = [(1, "r", "a.py", "f", "x = 1\n", None, " b ", "why", "s", ["S1"], ["g", "", "h"]), (2, "r", None, "q", "", "go", None, None, "sum", None, None), (3, "r", "b", "z", None, None, None, None, None, None, None)]
+    df = spark.createDataFrame(rows, schema)
+    got = {(x.id, x.mode): x.narrative for x in narrate.build_narratives(df, ["code", "all"]).collect()}
+    assert len(got) == 12
+    assert got[1, "code"] == "In the r repository, consider the following component.\n\nFile: a.py\n\nDesign intent: why\n\nOriginal context:\nb\n\n```python\nx = 1\n```\n\nS1\n\nContinue with: g, h."
+    assert got[2, "code"] == "In the r repository, consider the following component.\n\nFile: N/A\n\nThis component integrates with other modules in the repository."
+    assert got[1, "structure"].endswith("components: g, h.") and got[2, "comment"] == "sum\n\n```go\n\n```"
+    assert got[1, "cross"].endswith("Design intent: why\nFollow-on topics: g, h.\n\nS1") and "Follow-on topics: (not detected)." in got[2, "cross"]
+    assert got[3, "code"].startswith("[error] Failed to build code narrative:")
+    assert {x.mode for x in narrate.build_narratives(df, ["nope"]).collect()} == {"code"}
