@@ -2,8 +2,8 @@
 
 A document's statistics are transformed to near-symmetric features. For every language and source the
 minimum-covariance-determinant estimate is found by concentration steps over all of its rows: from a
-robust start, take the share of rows that lie nearest by Mahalanobis distance, estimate mean and covariance
-from them, and repeat. Each step is one aggregation of sums; the distance that bounds the share comes
+few starts, take the share of rows that lie nearest by Mahalanobis distance, estimate mean and covariance
+from them, and repeat; of the starts, the least determinant counts. Each step is one aggregation of sums; the distance that bounds the share comes
 from a histogram with a fixed number of bins, so a group that holds most rows costs no more than others.
 """
 
@@ -30,7 +30,8 @@ POOL = "\0\0"
 #: Squared distances beyond this are outliers: the 1 - 1e-7 quantile of chi-square with 5 degrees of freedom.
 CUTOFF = 41.15
 #: Smallest standard deviation of a feature, in its own unit, that an estimate may have.
-FLOOR = (0.5, 0.1, 0.5, 0.5, 0.7)
+#: With it each feature can reject by itself: over 23 repeated lines, or 24 % of the words, where the group has none.
+FLOOR = (0.5, 0.1, 0.5, 0.5, 0.5)
 _WORDS, _SYMBOLS = re.compile(r"[^\x20\x09-\x0D]+"), re.compile(r"[#*$%&|<>]")
 
 
@@ -84,9 +85,9 @@ def _features(stats: DataFrame) -> DataFrame:
 
 
 def _moments(rows: DataFrame) -> DataFrame:
-    """Count, mean and covariance sums of the features for each language and source."""
+    """Count, mean and covariance sums of the features for each language, source and start."""
     sums = [F.sum(a).alias(f"s_{i}") for i, a in enumerate(FEATURES)] + [F.sum(F.col(a) * F.col(b)).alias(f"s_{i}_{j}") for i, a in enumerate(FEATURES) for j, b in enumerate(FEATURES) if j <= i]
-    return rows.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"), *sums)
+    return rows.groupBy("lang", "source", "start").agg(F.count(F.lit(1)).alias("n"), *sums)
 
 
 def _invert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -98,9 +99,23 @@ def _invert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             mean = np.array([r[f"s_{i}"] / n for i in range(k)])
             cov = np.array([[r[f"s_{max(i, j)}_{min(i, j)}"] / n - mean[i] * mean[j] for j in range(k)] for i in range(k)])
             # the share cut off makes the covariance too small; the usual factor for a 3/4 share in five dimensions
-            cov = cov * 1.45 + np.diag(np.square(FLOOR))
-            out.append({"lang": r["lang"], "source": r["source"], "mean": mean.tolist(), "inv": np.linalg.inv(cov).ravel().tolist()})
-        yield pd.DataFrame(out, columns=["lang", "source", "mean", "inv"])
+            cov = cov * 1.45
+            np.fill_diagonal(cov, np.maximum(np.diag(cov), np.square(FLOOR)))
+            values, vectors = np.linalg.eigh(cov)
+            values = np.maximum(values, min(FLOOR) ** 2 / 10)  # features that move together, and rounding
+            out.append({"lang": r["lang"], "source": r["source"], "start": r["start"], "mean": mean.tolist(), "inv": ((vectors / values) @ vectors.T).ravel().tolist(), "logdet": float(np.log(values).sum())})
+        yield pd.DataFrame(out, columns=["lang", "source", "start", "mean", "inv", "logdet"])
+
+
+def _middles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Two starts of each group from the quartiles: scales of the quartiles' distance, and of the floor."""
+    for pdf in batches:
+        out = []
+        for r in pdf.to_dict("records"):
+            q = np.array([r[f"q_{i}"] for i in range(len(FEATURES))])
+            for start, scale in ((1, np.maximum((q[:, 2] - q[:, 0]) / 1.349, FLOOR)), (2, np.array(FLOOR))):
+                out.append({"lang": r["lang"], "source": r["source"], "start": start, "mean": q[:, 1].tolist(), "inv": np.diag(scale**-2.0).ravel().tolist(), "logdet": float(2 * np.log(scale).sum())})
+        yield pd.DataFrame(out, columns=["lang", "source", "start", "mean", "inv", "logdet"])
 
 
 def _distance(at: str, inv: str) -> Column:
@@ -118,7 +133,8 @@ def robust_estimates(features: DataFrame) -> DataFrame:
     """lang, source, mean, inv: the estimate for each language and source.
 
     Groups with fewer than ``LEAST`` sound rows take that of all sound rows of their language, and where these are too few
-    as well, that of all sound rows. The start is the mean and covariance of all rows that pass the fixed rules.
+    as well, that of all sound rows. The starts are the mean and covariance of all rows that pass the fixed rules, and the medians
+    with two scales.
     """
     sound = features.where(~F.col("base_failed"))
     groups = materialize(features.groupBy("lang", "source").agg(F.count_if(~F.col("base_failed")).alias("n")), "groups")
@@ -133,17 +149,21 @@ def robust_estimates(features: DataFrame) -> DataFrame:
     if pools.where(F.col("at_lang") == POOL).head(1):
         sound = sound.unionByName(over_all)
     size = materialize(sound.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n_all")), "sizes")
-    schema = "lang string, source string, mean array<double>, inv array<double>"
-    est = materialize(_moments(sound).mapInPandas(_invert, schema).join(size, ["lang", "source"]), "estimates")
+    schema = "lang string, source string, start int, mean array<double>, inv array<double>, logdet double"
+    middles = sound.groupBy("lang", "source").agg(*(F.percentile_approx(a, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 1000).alias(f"q_{i}") for i, a in enumerate(FEATURES)))
+    first = _moments(sound.withColumn("start", F.lit(0))).mapInPandas(_invert, schema).unionByName(middles.mapInPandas(_middles, schema))
+    est = materialize(first.join(size, ["lang", "source"]), "estimates")
     bin_ = F.floor(F.log1p("d2") * 512).cast("int")  # a bin is 0.2 % wide
     for _ in range(STEPS):
         # the table of groups is small beside the rows: the engine broadcasts it or not by its size
         near = sound.join(est, ["lang", "source"]).withColumn("d2", _distance("mean", "inv")).withColumn("bin", bin_)
-        counts = near.groupBy("lang", "source", "bin").agg(F.count(F.lit(1)).alias("c"), F.first("n_all").alias("n_all"))
-        w = W.partitionBy("lang", "source").orderBy("bin")
-        limit = counts.withColumn("before", F.sum("c").over(w) - F.col("c")).where(F.col("before") < SHARE * F.col("n_all")).groupBy("lang", "source").agg(F.max("bin").alias("last"))
-        inner = near.join(limit, ["lang", "source"]).where("bin <= last")
+        counts = near.groupBy("lang", "source", "start", "bin").agg(F.count(F.lit(1)).alias("c"), F.first("n_all").alias("n_all"))
+        w = W.partitionBy("lang", "source", "start").orderBy("bin")
+        limit = counts.withColumn("before", F.sum("c").over(w) - F.col("c")).where(F.col("before") < SHARE * F.col("n_all")).groupBy("lang", "source", "start").agg(F.max("bin").alias("last"))
+        inner = near.join(limit, ["lang", "source", "start"]).where("bin <= last")
         est = materialize(_moments(inner).mapInPandas(_invert, schema).join(size, ["lang", "source"]), "estimates")
+    best = F.min_by(F.struct("mean", "inv"), F.struct("logdet", "start"))
+    est = est.groupBy("lang", "source").agg(best.alias("best")).select("lang", "source", "best.mean", "best.inv")
     est = est.select(F.col("lang").alias("at_lang"), F.col("source").alias("at_source"), "mean", "inv")
     return key.join(est, ["at_lang", "at_source"]).select("lang", "source", "mean", "inv")
 

@@ -187,6 +187,18 @@ def test_quality_rules_judges_small_groups(spark):
     assert all(got[i].kept for i in [*range(200), 2000]) and not any(got[i].kept for i in [*range(1000, 1005), 2001, 2002])
 
 
+def test_each_feature_rejects_by_itself(spark):
+    r = random.Random(7)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(r.randint(4, 9)))
+    good = lambda n: " ".join(word() for _ in range(n))
+    rows = [(i, good(r.randint(100, 300))) for i in range(200)]
+    rows += [(1000 + i, f"{good(12)} {(p := good(20))} {good(90)} {p} {good(12)} {(p := good(12))} {p}") for i in range(5)]  # 36 % of the words
+    rows += [(2000 + i, " ".join(f"{word()}$%#" for _ in range(150))) for i in range(40)]
+    rows = [(i, t, "en", "s") for i, t in rows]
+    got = {x.doc_id: x for x in quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert all(got[i].kept for i in range(200)) and not any(got[i].kept or got[i].base_failed for i in [*range(1000, 1005), *range(2000, 2040)])
+
+
 # 5
 def test_unit_dedup(docs, empty, spark):
     got = unit_dedup.unit_dedup(docs).collect()
