@@ -26,10 +26,10 @@ def _hydrate(text: pd.Series, paths: pd.Series, texts: pd.Series) -> pd.DataFram
     return pd.DataFrame(rows, columns=["text", "wanted"])
 
 
-def hydrate_sections(secs: DataFrame, files: DataFrame, keys: list[str], text: str, rounds: int = 3) -> DataFrame:
+def hydrate_sections(secs: DataFrame, files: DataFrame, keys: list[str], text: str, rounds: int = 4) -> DataFrame:
     """``secs`` with ``text`` hydrated. ``files``: repo, path, text; ``secs`` has repo, and ``keys`` name a row.
 
-    A snippet that is put in may itself hold references, as far as the rules go three levels deep, so the files
+    A snippet that is put in may itself hold references, and each of the four passes of the rules sees what those before put in, so the files
     are collected in rounds: each asks for the paths that a run over the files so far named, by an equality join.
     """
     none = F.array().cast("array<string>")

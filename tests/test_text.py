@@ -144,3 +144,14 @@ def test_narrative_templates(spark):
     assert got[1, "cross"].endswith("Design intent: why\nFollow-on topics: g, h.\n\nS1") and "Follow-on topics: (not detected)." in got[2, "cross"]
     assert got[3, "code"].startswith("[error] Failed to build code narrative:")
     assert {x.mode for x in narrate.build_narratives(df, ["nope"]).collect()} == {"code"}
+
+
+def test_hydration_follows_four_files(spark):
+    files = {"a.py": "[x](b.py)", "b.py": "c.py:1-1", "c.py": "d.py:1-1", "d.py": "last"}
+    text = "[a.py]()"
+    want = R.Hydrator(files).run(text)
+    df = spark.createDataFrame([(1, "r", text)], "i int, repo string, text string")
+    fs = spark.createDataFrame([("r", k, v) for k, v in files.items()], "repo string, path string, text string")
+    assert "last" in want
+    assert hydrate.hydrate_sections(df, fs, ["i"], "text").first().text == want
+    assert hydrate.hydrate_sections(df, fs, ["i"], "text", rounds=3).first().text != want
