@@ -18,11 +18,15 @@ SPACE = r"[\x20\x09-\x0D]+"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that every executor can read, from ``spark.checkpoint.dir``.
 
-    Only where that setting is missing (tests, local sessions) a temporary folder is used.
+    Only where that setting is missing and the master is local (tests) a temporary folder is used: on a cluster it
+    would be a folder of each machine's own.
     """
     given = spark.conf.get("spark.checkpoint.dir", None)
     if given:
         return given.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     own = getattr(spark, "_docloom_shared", None)
     if own is None:
         own = "file://" + tempfile.mkdtemp(prefix="docloom-")
@@ -91,5 +95,25 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str | list[str], size:
     return warm.join(F.broadcast(hot), key, how).unionByName(rest.join(cold, key, how))
 
 
+def ranked(docs: DataFrame) -> list[Column]:
+    """no_id, rank and mark of each row: rows sort by doc_id, nulls last, and then by a hash of the text.
+
+    Every long is a doc_id that may occur, so a null has a flag instead of a number of its own.
+    """
+    doc_id = docs["doc_id"].cast("long")
+    return [doc_id.isNull().alias("no_id"), F.coalesce(doc_id, F.lit(0)).alias("rank"), F.xxhash64(text_of(docs)).alias("mark")]
+
+
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, each with underscores added until no column has it, whatever its case."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

@@ -12,10 +12,9 @@ import re
 import zlib
 from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,13 +22,16 @@ from pyspark.sql import functions as F
 from .common import load, text_of
 
 BUCKETS, DIM, GRAMS = 1 << 16, 8, (3, 4, 5)
-#: Labelled rows of either class that the model is fitted on at most, chosen by a hash of doc_id.
-SAMPLE = 4000
-EPOCHS, BATCH, RATE = 12, 64, 1.0
+#: Labelled rows of either class that the model is fitted on at most, chosen by a hash of doc_id, and the characters that
+#: either class has at most: beyond them fewer rows are taken, and each with its whole text.
+SAMPLE, SAMPLE_CHARS = 4000, 40_000_000
+#: Passes over the sample: as many as make ``SEEN`` rows in all, within bounds, so that few labels are seen more often.
+EPOCHS, SEEN, BATCH, RATE = (12, 100), 96_000, 64, 1.0
 THRESHOLD = 0.3
 #: Words whose score, and whose buckets in training, are kept at a time.
-KEEP, BAG_KEEP = 500_000, 50_000
-_WORD = re.compile(r"[^\W\d_]+")
+KEEP, BAG_KEEP = 250_000, 50_000
+#: A word keeps digits and signs that stand for letters inside it, so that "id1ot" and "f*ol" are one word.
+_WORD = re.compile(r"[^\W_](?:[\w*@$!'\u2019]*[^\W_])?")
 
 
 def buckets_of(word: str) -> list[int]:
@@ -46,6 +48,8 @@ def _bag(text: str, seen: dict[str, list[int]]) -> tuple[np.ndarray, np.ndarray]
     for w, n in Counter(_WORD.findall(text.lower())).items():
         b = seen.get(w)
         if b is None:
+            if len(seen) >= BAG_KEEP:
+                seen.clear()
             b = seen[w] = buckets_of(w)
         rows.extend(b)
         weights.extend([n / len(b)] * len(b))
@@ -56,12 +60,16 @@ def _bag(text: str, seen: dict[str, list[int]]) -> tuple[np.ndarray, np.ndarray]
     return at.astype(np.uint16 if BUCKETS <= 1 << 16 else np.int32), (total[at] / total[at].sum()).astype(np.float32)
 
 
-def train(texts: list[str], labels: list[int], prior: float, seed: int = 7) -> tuple[np.ndarray, float]:
+def train(texts: Iterable[str], labels: list[int], prior: float, seed: int = 7) -> tuple[np.ndarray, float]:
+    """One score for each bucket, and the bias, from whole texts; see :func:`train_bags`."""
+    seen: dict[str, list[int]] = {}
+    return train_bags([_bag(t, seen) for t in texts], labels, prior, seed)
+
+
+def train_bags(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[int], prior: float, seed: int = 7) -> tuple[np.ndarray, float]:
     """One score for each bucket, and the bias: the trained embeddings times the trained softmax, as far as
     two classes need it. ``prior``: share of label 1 among all labelled rows, which the sample need not have.
     """
-    seen: dict[str, list[int]] = {}
-    bags = [_bag(t, seen) for t in texts]
     y = np.array(labels)
     if len(set(labels)) < 2:
         return np.zeros(BUCKETS), float(np.log(min(max(prior, 1e-6), 1 - 1e-6)) - np.log1p(-min(max(prior, 1e-6), 1 - 1e-6)))
@@ -71,10 +79,12 @@ def train(texts: list[str], labels: list[int], prior: float, seed: int = 7) -> t
     share = np.bincount(y, minlength=2) / len(y)
     scale = 0.5 / share  # both classes weigh alike in training; the bias is set right afterwards
     full = [i for i in range(len(y)) if len(bags[i][0])]
-    for epoch in range(EPOCHS):
-        rate, order = RATE * (1 - epoch / EPOCHS), rng.permutation(full)
-        for k in range(0, len(order), BATCH):
-            some = order[k : k + BATCH]
+    epochs = min(max(SEEN // max(len(full), 1), EPOCHS[0]), EPOCHS[1])
+    batch = min(BATCH, max(16, len(full) // 32))
+    for epoch in range(epochs):
+        rate, order = RATE * (1 - epoch / epochs), rng.permutation(full)
+        for k in range(0, len(order), batch):
+            some = order[k : k + batch]
             rows = np.concatenate([bags[i][0] for i in some]).astype(np.int64)
             weight = np.concatenate([bags[i][1] for i in some])
             sizes = np.array([len(bags[i][0]) for i in some])
@@ -97,14 +107,21 @@ def train(texts: list[str], labels: list[int], prior: float, seed: int = 7) -> t
     return table @ (soft[1] - soft[0]), float(bias[1] - bias[0] + np.log(prior / (1 - prior)))
 
 
-def _fit(prior: float):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = [p for p in batches if len(p)]
-        if not parts:
+def _fit(prior: float, most: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bags, labels, used, seen = [], [], [0, 0], {}
+        for batch in batches:  # in the order of the hash; a text is gone as soon as its bag is there
+            for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                text = text.as_py()
+                used[toxic] += len(text)
+                if used[toxic] <= most or toxic not in labels:
+                    bags.append(_bag(text, seen))
+                    labels.append(toxic)
+        if not bags:
             return  # labels, but none of their documents
-        rows = pd.concat(parts).sort_values(["doc_id", "text"])
-        scores, bias = train(rows["text"].tolist(), rows["toxic"].astype(int).tolist(), prior)
-        yield pd.DataFrame({"weights": [np.r_[scores, bias].astype("<f8").tobytes()]})
+        seen.clear()
+        scores, bias = train_bags(bags, labels, prior)
+        yield pa.RecordBatch.from_pydict({"weights": pa.array([np.r_[scores, bias].astype("<f8").tobytes()], pa.binary())})
 
     return run
 
@@ -113,7 +130,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     """Scores of all buckets and, last, the bias: half a megabyte, whatever the input.
 
     ``labels``: doc_id, toxic (0 or 1; rows with a null in either are left out). At most ``SAMPLE`` rows of
-    either class are used, whole texts of them; without any labelled row the score is one half throughout.
+    either class are used, whole texts of them, and fewer where these have over ``SAMPLE_CHARS`` characters; equal pairs of labels
+    count once, and a document with both labels is an example of both. Without any labelled row the score is one half throughout.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic in (0, 1)").distinct()
     n = {r[0]: r[1] for r in known.groupBy("toxic").count().collect()}
@@ -122,8 +140,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     parts = [known.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE) for c in (0, 1)]
     chosen = parts[0].unionByName(parts[1])  # at most 2 * SAMPLE pairs of numbers
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
-    rows = text.join(F.broadcast(chosen), "doc_id").repartition(1)
-    got = rows.mapInPandas(_fit(n.get(1, 0) / sum(n.values())), "weights binary").collect()
+    rows = text.join(F.broadcast(chosen), "doc_id").repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "toxic", F.xxhash64("text"))
+    got = rows.select("toxic", "text").mapInArrow(_fit(n.get(1, 0) / sum(n.values()), SAMPLE_CHARS), "weights binary").collect()
     return np.frombuffer(got[0][0], "<f8") if got else np.zeros(BUCKETS + 1)
 
 
@@ -140,19 +158,21 @@ class _Scores(dict):
         return s
 
 
-def _score(weights):
+def _score(weights, at: int | None):
+    """``at``: the field of the row that holds the text; None where it comes as a column of its own."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = weights.value
         bias, seen = float(table[-1]), _Scores(table.tolist())
         for batch in batches:
             out = []
-            for text in batch.column(0).to_pylist():
-                words = _WORD.findall(text.lower())
+            for text in batch.column(1) if at is None else batch.column(0).field(at):
+                words = _WORD.findall((text.as_py() or "").lower())
                 z = bias + (sum(map(seen.__getitem__, words)) / len(words) if words else 0.0)
                 out.append(1.0 / (1.0 + np.exp(-z)) if z > -700 else 0.0)
                 if len(seen) > KEEP:
                     seen.clear()
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(out, pa.float64())], ["row", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], ["row", "score"])
 
     return run
 
@@ -170,11 +190,13 @@ def score_toxicity(docs: DataFrame, weights: np.ndarray, keep: list[str] | None
     """
     keep = docs.columns if keep is None else keep
     shared = docs.sparkSession.sparkContext.broadcast(weights)
-    rows = docs.select(text_of(docs).alias("text"), F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"))
+    row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")
+    at = keep.index("text") if "text" in keep and keep.count("text") == 1 and docs.schema["text"].dataType.simpleString() == "string" else None
+    rows = docs.select(row) if at is not None else docs.select(row, text_of(docs).alias("text"))  # a text travels once
     schema = rows.select("row", F.lit(0.0).alias("score")).schema
     for field in schema:
         field.nullable = True
-    return rows.mapInArrow(_score(shared), schema).select("row.*", F.col("score").alias(column))
+    return rows.mapInArrow(_score(shared, at), schema).select("row.*", F.col("score").alias(column))
 
 
 def model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> np.ndarray:
