@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import join_groups, load, materialize, shuffle_partitions, text_of
+from .passages import shared_passages
 
 LENGTH, GRAM = 400, 64
 #: Bytes of a shard. Anchors with more different contexts than CROWD have their windows hashed.
@@ -266,7 +267,8 @@ def _anchors(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h64 = xxhash.xxh3_64_intdigest
         for batch in batches:
-            docs, marks, texts = (batch.column(i).to_pylist() for i in range(3))
+            ranks, marks = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            texts = batch.column(2).to_pylist()
             queue, held = [], 0  # (row, offset of the piece, bytes)
 
             def go() -> pa.RecordBatch:
@@ -279,11 +281,10 @@ def _anchors(length: int):
                 rows = np.array([r for r, _, _ in queue])[piece]
                 ctx = np.array([h64(raw[x:y]) for x, y in zip(a.tolist(), (b + length).tolist(), strict=True)], np.uint64)
                 return pa.RecordBatch.from_arrays(
-                    [pa.array(docs_[rows]), pa.array(marks_[rows]), pa.array((a + shift[piece]).astype(np.int32)), pa.array((b + length + shift[piece]).astype(np.int32)), pa.array(h.view(np.int64)), pa.array(ctx.view(np.int64))],
+                    [pa.array(ranks[rows]), pa.array(marks[rows]), pa.array((a + shift[piece]).astype(np.int32)), pa.array((b + length + shift[piece]).astype(np.int32)), pa.array(h.view(np.int64)), pa.array(ctx.view(np.int64))],
                     ["rank", "mark", "lo", "hi", "anchor", "context"],
                 )
 
-            docs_, marks_ = np.array(docs, np.int64), np.array(marks, np.int64)
             for row, text in enumerate(texts):
                 raw = text.encode("utf-8", "surrogatepass")
                 if len(raw) < length:
@@ -364,7 +365,7 @@ def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for doc, text, spans in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
+        for doc, text, spans, shared in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "spans", "n_shared")), strict=True):
             raw, kept, at, gone, united = zstandard.decompress(text), [], 0, 0, []
             for a, b in sorted((s["lo"], s["hi"]) for s in spans or ()):
                 if united and a <= united[-1][1]:
@@ -375,14 +376,20 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 kept.append(raw[at:a])
                 gone, at = gone + b - a, b
             rest = b"".join([*kept, raw[at:]])
-            out.append((doc, len(raw), gone, len(united), hashlib.sha256(rest).hexdigest(), rest, [x for u in united for x in u]))
-        cols = list(zip(*out, strict=True)) if out else [[]] * 7
-        types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.list_(pa.int32()))
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans"])
+            out.append((doc, len(raw), gone, len(united), hashlib.sha256(rest).hexdigest(), shared or 0, rest, [x for u in united for x in u]))
+        cols = list(zip(*out, strict=True)) if out else [[]] * 8
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.list_(pa.int32()))
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], [x.split()[0] for x in _OUT.split(", ")])
 
 
-def suffix_dedup(docs: DataFrame, length: int = LENGTH, shard: int = SHARD, crowd: int = CROWD) -> DataFrame:
-    """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes left), spans (start and end in turn).
+_OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_shared long, kept binary, spans array<int>"
+
+
+def suffix_dedup(docs: DataFrame, length: int = LENGTH, shard: int = SHARD, crowd: int = CROWD, passage_words: int | None = None) -> DataFrame:
+    """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_shared, kept (the bytes left), spans (start and end in turn).
+
+    ``n_shared`` tells, with ``passage_words``, that the document has so many words in a row in common with another one, which may
+    be under ``length`` bytes; see :func:`passages.shared_passages`. It has no part in what is removed.
 
     A null text is empty. Texts shorter than ``length`` lose nothing. Rows that share a doc_id are documents
     of their own, and a repeated row is a repeat of the other. An empty table gives an empty result; other columns are ignored.
@@ -390,23 +397,27 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, shard: int = SHARD, crow
     """
     if length % 8 or length <= GRAM:
         raise ValueError("length must be a multiple of 8 above 64")
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("rank"), F.xxhash64(text_of(docs)).alias("mark"), F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
+    # a document's key: its doc_id, and a hash of its text and of whether the doc_id is null; equal rows have one key and equal runs
+    doc_id, text = docs["doc_id"].cast("long"), text_of(docs)
+    rows = docs.select(F.coalesce(doc_id, F.lit(0)).alias("rank"), F.xxhash64(doc_id.isNull(), text).alias("mark"), doc_id.alias("doc_id"), text.alias("text"))
     anchors = materialize(rows.select("rank", "mark", "text").mapInArrow(_anchors(length), "rank long, mark long, lo int, hi int, anchor long, context long"), "anchors")
     n = shuffle_partitions(docs.sparkSession)
     kinds = materialize(anchors.groupBy("anchor", "context").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("rank", "mark", "lo", "hi")).alias("one")), "contexts")
-    many = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    many = materialize(kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"), "many")
     whole = kinds.where("n > 1").select("anchor", "context", "n", F.lit(None).cast("array<int>").alias("runs"))
-    send = kinds.where("n = 1 or n > 1").join(many, "anchor").select(F.col("one.rank").alias("rank"), F.col("one.mark").alias("mark"), F.struct("anchor", "context", F.col("one.lo").alias("lo"), F.col("one.hi").alias("hi"), (F.col("kinds") > crowd).alias("crowded")).alias("w"))
+    send = join_groups(kinds, many, "anchor", "kinds", "inner").select(F.col("one.rank").alias("rank"), F.col("one.mark").alias("mark"), F.struct("anchor", "context", F.col("one.lo").alias("lo"), F.col("one.hi").alias("hi"), (F.col("kinds") > crowd).alias("crowded")).alias("w"))
     send = send.groupBy("rank", "mark").agg(F.collect_list("w").alias("wanted"))  # no more than the document's own runs
-    texts = rows.select("rank", "mark", "doc_id", "text").mapInArrow(_squeeze, "rank long, mark long, doc_id long, text binary")
+    texts = rows.mapInArrow(_squeeze, "rank long, mark long, doc_id long, text binary")
     sent = texts.drop("doc_id").join(send, ["rank", "mark"]).select("text", "wanted").mapInArrow(_fetch, "anchor long, context long, crowded boolean, data binary")
     sent = materialize(sent, "sent").dropDuplicates(["anchor", "context"])  # repeated rows send twice
     quiet = sent.where(~F.col("crowded")).select("anchor", "context", "data").repartition(n, "anchor").sortWithinPartitions("anchor", "context")
     sorted_ = quiet.mapInArrow(_sort_shards(length, shard), "anchor long, context long, runs array<int>")
     windows = sent.where("crowded").select("anchor", "context", "data").mapInArrow(_windows(length), "anchor long, context long, at int, window binary")
-    # a window that is there twice marks its places; the first is kept as a place, the others are counted
-    twice = windows.groupBy("window").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    hashed = windows.join(twice, "window").groupBy("anchor", "context").agg(F.flatten(F.collect_list(F.array("at", "at"))).alias("runs"))
+    hashed = sorted_.limit(0)
+    if not many.where(F.col("kinds") > crowd).isEmpty():
+        windows = materialize(windows, "windows")
+        twice = materialize(windows.groupBy("window").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "twice")
+        hashed = join_groups(windows, twice, "window", "c", "inner").groupBy("anchor", "context").agg(F.flatten(F.collect_list(F.array("at", "at"))).alias("runs"))
     partly = sorted_.unionByName(hashed).join(kinds.where("n = 1").select("anchor", "context", "n"), ["anchor", "context"])
     hits = materialize(whole.unionByName(partly.select("anchor", "context", "n", "runs")), "hits")
     covered = join_groups(anchors, hits, ["anchor", "context"], "n", "inner")
@@ -414,8 +425,19 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, shard: int = SHARD, crow
         F.transform(F.sequence(F.lit(0), (F.size("runs") / 2).cast("int") - 1), lambda i: F.struct((F.col("lo") + F.get("runs", 2 * i)).alias("lo"), (F.col("lo") + F.get("runs", 2 * i + 1) + length).alias("hi")))
     )
     spans = covered.select("rank", "mark", pairs.alias("p")).groupBy("rank", "mark").agg(F.flatten(F.collect_list("p")).alias("spans"))
-    return texts.join(spans, ["rank", "mark"], "left").select("doc_id", "text", "spans").mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, spans array<int>")
+    if passage_words is None:
+        spans = spans.withColumn("n_shared", F.lit(None).cast("long"))
+    else:
+        named = rows.select("rank", "mark", F.xxhash64("rank", "mark").alias("doc"), "text")
+        found = named.drop("text").join(shared_passages(named, passage_words), "doc").drop("doc").distinct()
+        spans = spans.join(found, ["rank", "mark"], "full")
+    return texts.join(spans, ["rank", "mark"], "left").select("doc_id", "text", "spans", "n_shared").mapInArrow(_remove, _OUT)
+
+
+#: Passages of over 50 words are reported, though they may be under 400 bytes.
+PASSAGE_WORDS = 51
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup(load(spark, sf_dir, "documents")).drop("kept", "spans")
+    out = suffix_dedup(load(spark, sf_dir, "documents"), passage_words=PASSAGE_WORDS)
+    return out.withColumn("repeats_passage", F.col("n_shared") > 0).drop("kept", "spans")
