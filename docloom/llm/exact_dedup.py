@@ -12,10 +12,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import SPACE, join_groups, load, materialize, text_of
+from .common import SPACE, join_groups, load, materialize, text_of, unused
 
 GAMMA = 2.0
 #: Digests in one shard of the index, on average: 40 bytes each, some 8 MB.
@@ -94,8 +93,9 @@ def _lookup(known: pa.Table, new: pa.Table) -> pa.Table:
     index = PerfectHash(a)
     cols = {}
     for c in ("keep_id", "group_size", "n_first"):
-        cols[c] = known.column(c).to_pandas().astype("Int64").to_numpy(np.int64, na_value=np.iinfo(np.int64).max)
-        cols["new_" + c] = new.column(c).to_pandas().astype("Int64").to_numpy(np.int64, na_value=np.iinfo(np.int64).max)
+        for name, side in ((c, known), ("new_" + c, new)):
+            cols[name] = side.column(c).combine_chunks().fill_null(0).to_numpy(zero_copy_only=False).copy()
+    none, new_none = (x.column("keep_id").is_null().to_numpy().copy() for x in (known, new))  # no id at all: after every id
     row = np.empty(index.n, np.int64)  # winner locators by slot
     if index.n:
         row[index.slot(a)] = np.arange(index.n)
@@ -104,14 +104,15 @@ def _lookup(known: pa.Table, new: pa.Table) -> pa.Table:
     to = row[at[member]] if index.n else np.zeros(0, np.int64)
     keep, first = cols["keep_id"], cols["n_first"]
     cols["group_size"][to] += cols["new_group_size"][member]
-    nk, nf = cols["new_keep_id"][member], cols["new_n_first"][member]
-    first[to] = np.where(nk < keep[to], nf, np.where(nk == keep[to], first[to] + nf, first[to]))
-    keep[to] = np.minimum(keep[to], nk)
+    nk, nf, nn = cols["new_keep_id"][member], cols["new_n_first"][member], new_none[member]
+    same = (nn == none[to]) & (nn | (nk == keep[to]))
+    less = ~same & (none[to] & ~nn | (nn == none[to]) & (nk < keep[to]))
+    first[to] = np.where(less, nf, np.where(same, first[to] + nf, first[to]))
+    keep[to], none[to] = np.where(less, nk, keep[to]), np.where(less, nn, none[to])
     out = [np.concatenate([cols[c], cols["new_" + c][~member]]) for c in ("keep_id", "group_size", "n_first")]
     digests = known.column("digest").to_pylist() + new.column("digest").filter(pa.array(~member)).to_pylist()
-    none = out[0] == np.iinfo(np.int64).max
     return pa.table({
-        "digest": pa.array(digests, pa.binary()), "keep_id": pa.array(out[0], pa.int64(), mask=none), "group_size": out[1], "n_first": out[2],
+        "digest": pa.array(digests, pa.binary()), "keep_id": pa.array(out[0], pa.int64(), mask=np.concatenate([none, new_none[~member]])), "group_size": out[1], "n_first": out[2],
         "known": np.r_[np.ones(len(a), bool), np.zeros(int((~member).sum()), bool)],
     })
 
@@ -149,7 +150,13 @@ def exact_dedup(docs: DataFrame, history: DataFrame | None = None) -> DataFrame:
     first = F.col("doc_id").eqNullSafe(F.col("keep_id"))
     tied = first & (F.col("n_first") > 1)
     one = out.where(~tied).withColumn("kept", first)
-    many = out.where(tied).withColumn("kept", F.row_number().over(W.partitionBy("digest", "doc_id").orderBy("doc_id")) == 1)
+    if out.where(tied).isEmpty():
+        many = one.limit(0)
+    else:  # repeated rows: the one at the first place in the written table stays; the places of a text are a minimum, not a list
+        again = materialize(out.where(tied), "repeated")
+        again = again.withColumn("place", F.struct("_metadata.file_path", "_metadata.row_index"))
+        places = again.groupBy("digest").agg(F.min("place").alias("stays"), F.count(F.lit(1)).alias("c"))
+        many = join_groups(again, materialize(places, "places"), "digest", "c", "inner").withColumn("kept", F.col("place") == F.col("stays")).select(one.columns)
     return one.unionByName(many).select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"), "known")
 
 
@@ -170,16 +177,20 @@ def _groups(rows: DataFrame, history: DataFrame | None) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, one of each text; rules as for :func:`exact_dedup`."""
+    """The rows of ``docs`` that stay, one of each text, with all columns of ``docs``, whatever their names.
+
+    Rules as for :func:`exact_dedup`; of repeated rows one stays.
+    """
     rows = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), _digest(docs).alias("digest")), "digests")
-    groups = _groups(rows, None).select(F.col("digest").alias("__digest"), F.col("keep_id").alias("__keep"), F.col("n_first").alias("__first"))
+    digest, keep, n_first = unused(docs.columns, "_digest", "_keep", "_first")
+    groups = _groups(rows, None).select(F.col("digest").alias(digest), F.col("keep_id").alias(keep), F.col("n_first").alias(n_first))
     # each text's winner is one row, so the join's key (text and doc_id) is never a hot one
-    same = (_digest(docs) == F.col("__digest")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__keep"))
-    if groups.where("__first > 1").isEmpty():
+    same = (_digest(docs) == groups[digest]) & F.col("doc_id").cast("long").eqNullSafe(groups[keep])
+    if groups.where(groups[n_first] > 1).isEmpty():
         return docs.join(groups, same, "left_semi")
     kept = docs.join(groups, same)
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    return kept.where("__first = 1").select(*columns).unionByName(kept.where("__first > 1").dropDuplicates(["__digest"]).select(*columns))
+    return kept.where(groups[n_first] == 1).select(*columns).unionByName(kept.where(groups[n_first] > 1).dropDuplicates([digest]).select(*columns))
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

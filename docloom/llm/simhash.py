@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import join_groups, load, materialize, text_of
+from .common import join_groups, load, materialize, text_of, unused
 from .graph import components
 
 SEED, NEAR = 42, 3
@@ -195,8 +195,9 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     Of rows that share both (repeated rows) all stay; exact deduplication is for them.
     """
-    near = near_duplicates(docs).where("first").select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).distinct()
-    return docs.join(near, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(text_of(docs)) == F.col("__mark")), "left_semi")
+    id_, mark = unused(docs.columns, "_id", "_mark")
+    near = near_duplicates(docs).where("first").select(F.col("doc_id").alias(id_), F.col("mark").alias(mark)).distinct()
+    return docs.join(near, F.col("doc_id").cast("long").eqNullSafe(near[id_]) & (F.xxhash64(text_of(docs)) == near[mark]), "left_semi")
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
