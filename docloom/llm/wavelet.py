@@ -204,8 +204,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
     An empty table writes no file.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
-    rows = rows.repartitionByRange(shuffle_partitions(spark), "doc_id").sortWithinPartitions("doc_id")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text")).withColumn("place", F.monotonically_increasing_id())
+    # rows that share a doc_id, or have none, may be very many: the place in the scan parts them over tasks
+    rows = rows.repartitionByRange(shuffle_partitions(spark), F.col("doc_id").asc_nulls_first(), "place").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "place").drop("place")
     files = materialize(rows.mapInArrow(_write(path, tokenizer_path, end_id, shard_tokens), "part int, shard int, path string, n_docs long, n_ids long"), "token-files")
     # one row for each partition of the write, a number that this function has set
     before = files.groupBy("part").agg(F.sum("n_ids").alias("n")).select("part", (F.sum("n").over(W.orderBy("part")) - F.col("n")).alias("ahead"))
