@@ -9,6 +9,7 @@ from a histogram with a fixed number of bins, so a group that holds most rows co
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -27,11 +28,37 @@ FEATURES = ("f_length", "f_word", "f_symbol", "f_lines", "f_repeat")
 SHARE, STEPS, LEAST = 0.75, 6, 30
 #: Stands for all languages or all sources in the key of a pooled estimate.
 POOL = "\0\0"
-#: Squared distances beyond this are outliers: the 1 - 1e-7 quantile of chi-square with 5 degrees of freedom.
-CUTOFF = 41.15
+#: Share of a normal group that is rejected at most.
+TAIL = 1e-7
 #: Smallest standard deviation of a feature, in its own unit, that an estimate may have.
 #: With it each feature can reject by itself: over 23 repeated lines, or 24 % of the words, where the group has none.
 FLOOR = (0.5, 0.1, 0.5, 0.5, 0.5)
+
+
+def chi_square_below(x: float, k: int) -> float:
+    """Share of chi-square with ``k`` degrees of freedom up to ``x``: the series of the incomplete gamma function."""
+    a, x = k / 2, x / 2
+    term = total = 1 / a
+    n = 0
+    while term > total * 1e-17:
+        n += 1
+        term *= x / (a + n)
+        total += term
+    return total * math.exp(a * math.log(x) - x - math.lgamma(a)) if x > 0 else 0.0
+
+
+def chi_square_quantile(p: float, k: int) -> float:
+    lo, hi = 0.0, 1000.0
+    while hi - lo > 1e-9 * hi:
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if chi_square_below(mid, k) < p else (lo, mid)
+    return hi
+
+
+#: Squared distances beyond this are outliers.
+CUTOFF = chi_square_quantile(1 - TAIL, len(FEATURES))
+#: The share cut off makes a covariance too small; times this it is that of all rows, where they are normal.
+SCALE = SHARE / chi_square_below(chi_square_quantile(SHARE, len(FEATURES)), len(FEATURES) + 2)
 _WORDS, _SYMBOLS = re.compile(r"[^\x20\x09-\x0D]+"), re.compile(r"[#*$%&|<>]")
 
 
@@ -98,8 +125,7 @@ def _invert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             k, n = len(FEATURES), max(r["n"], 1)
             mean = np.array([r[f"s_{i}"] / n for i in range(k)])
             cov = np.array([[r[f"s_{max(i, j)}_{min(i, j)}"] / n - mean[i] * mean[j] for j in range(k)] for i in range(k)])
-            # the share cut off makes the covariance too small; the usual factor for a 3/4 share in five dimensions
-            cov = cov * 1.45
+            cov = cov * SCALE
             np.fill_diagonal(cov, np.maximum(np.diag(cov), np.square(FLOOR)))
             values, vectors = np.linalg.eigh(cov)
             values = np.maximum(values, min(FLOOR) ** 2 / 10)  # features that move together, and rounding
