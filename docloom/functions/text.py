@@ -19,17 +19,29 @@ MISALIGNED = (
 DOMAINS = "ai|app|cn|co|com|dev|io|net|org|tech"
 #: Addresses: with a scheme, with www, of mail, or a bare domain, tried at each place in this order.
 ADDRESS = rf"(?i)(?:https?://[^\s)]+|www\.[^\s)]+|[a-z0-9._%+-]+@[a-z0-9.-]+\.[a-z]{{2,}}|[a-z0-9.-]+\.(?:com|net|org|io|ai|dev|co|tech|app|cn)(?:/[^\s)]*)?)"
+#: The same addresses. A run of letters is tried at its start only, as a match from within it would have begun there; so the
+#: time is linear in the text.
+QUICK_ADDRESS = rf"(?i)(?:https?://[^\s)]+|www\.[^\s)]+|(?<![a-z0-9._%+-])[a-z0-9._%+-]++@[a-z0-9.-]+\.[a-z]{{2,}}|(?<![a-z0-9.-])[a-z0-9.-]+\.(?:com|net|org|io|ai|dev|co|tech|app|cn)(?:/[^\s)]*)?)"
+#: What every text with an address has.
+_HINT = r"(?i)://|www\.|@|\.(?:com|net|org|io|ai|dev|co|tech|app|cn)"
+#: White space of any script, and the separators among the control characters.
+WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x20\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def strip(c: Column) -> Column:
     """Without white space, of any script, at both ends."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITE))
+
+
+def once(c: Column, work) -> Column:
+    """``work`` of an expression that it uses several times and that is to be computed once."""
+    return F.get(F.transform(F.array(c), work), F.lit(0))
 
 
 def lines(c: Column) -> Column:
     """Lines, whatever ends them; a last empty line is no line, and an empty text has none."""
     every = F.split(c, "\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]")
-    return F.when(F.element_at(every, -1) == "", F.slice(every, 1, F.size(every) - 1)).otherwise(every)
+    return once(every, lambda e: F.when(F.element_at(e, -1) == "", F.slice(e, 1, F.size(e) - 1)).otherwise(e))
 
 
 def heading_key(c: Column) -> Column:
@@ -43,22 +55,35 @@ def sentences(c: Column) -> Column:
     return F.filter(F.transform(F.split(strip(c), r"(?<=[.!?])\s+"), strip), lambda s: s != "")
 
 
+def n_sentences(c: Column) -> Column:
+    """The number of sentences: no part between boundaries is blank, once the ends are stripped."""
+    return once(strip(c), lambda t: F.when(t == "", 0).otherwise(F.size(F.split(t, r"(?<=[.!?])\s+"))))
+
+
 def n_tokens(c: Column) -> Column:
     return F.regexp_count(c, F.lit(r"\S+"))
 
 
 def any_of(c: Column, words: list[str]) -> Column:
-    """Whether any of the words is in the lower-case text, as one alternation."""
-    return F.lower(c).rlike("|".join(w.replace("-", r"\-") for w in words))
+    """Whether any of the words is in the lower-case text."""
+    return once(F.lower(c), lambda t: has_any(t, words))
+
+
+def has_any(low: Column, words: list[str]) -> Column:
+    out = F.contains(low, F.lit(words[0]))
+    for w in words[1:]:
+        out = out | F.contains(low, F.lit(w))
+    return out
+
+
+def at_least_tokens(c: Column, n: int) -> Column:
+    """Whether there are ``n`` tokens, without a look at those behind."""
+    return c.rlike(rf"^\s*(?:\S++\s++){{{n - 1}}}\S")
 
 
 def learnability(c: Column) -> Column:
-    n = n_tokens(c)
-    score = (
-        F.when(n >= 80, F.lit(0.4)).when(n >= 40, F.lit(0.2)).otherwise(F.lit(0.0)).cast("double")
-        + F.when(any_of(c, VERBS), F.lit(0.3)).otherwise(F.lit(0.0)).cast("double")
-        + F.when(any_of(c, NOUNS), F.lit(0.3)).otherwise(F.lit(0.0)).cast("double")
-    )
+    words = once(F.lower(c), lambda t: F.when(has_any(t, VERBS), F.lit(0.3)).otherwise(F.lit(0.0)).cast("double") + F.when(has_any(t, NOUNS), F.lit(0.3)).otherwise(F.lit(0.0)).cast("double"))
+    score = F.when(at_least_tokens(c, 80), F.lit(0.4)).when(at_least_tokens(c, 40), F.lit(0.2)).otherwise(F.lit(0.0)).cast("double") + words
     return F.round(F.least(score, F.lit(1.0)), 3)
 
 
@@ -97,18 +122,28 @@ def truncate(c: Column, limit: int = 4000) -> Column:
     return F.when(F.length(t) <= limit, t).otherwise(F.concat(F.regexp_replace(F.substring(t, 1, limit - 3), r"(?U)\s+$", ""), F.lit("...")))
 
 
+def _bare(c: Column, strict_urls: bool) -> Column:
+    """Without addresses and tags."""
+    address = QUICK_ADDRESS.replace("cn)", r"cn)\b") if strict_urls else QUICK_ADDRESS
+    x = F.when(c.rlike(_HINT), F.regexp_replace(c, address, "")).otherwise(c)
+    return once(x, lambda t: F.when(F.contains(t, F.lit("<")), F.regexp_replace(F.regexp_replace(t, r"<[^>\n]+>", ""), r"<[^>]*$", "")).otherwise(t))
+
+
+def _tidy(x: Column) -> Column:
+    """White space collapsed, and quotes at the ends dropped; nothing where half a tag is left. ``x`` is used often."""
+    tidy = strip(F.when(x.rlike(r"\s\s"), F.regexp_replace(x, r"\s{2,}", " ")).otherwise(x))
+    return once(strip(x), lambda t: F.when(t.startswith("<") | t.endswith(">"), F.lit("")).otherwise(F.btrim(F.btrim(tidy, F.lit('"')), F.lit("'"))))
+
+
 def clean_line(c: Column, strict_urls: bool = False) -> Column:
     """A line without addresses and tags. ``strict_urls`` (an addition) gives bare domains a right boundary."""
-    address = ADDRESS.replace("cn)", r"cn)\b") if strict_urls else ADDRESS
-    x = F.regexp_replace(F.regexp_replace(F.regexp_replace(c, address, ""), r"<[^>\n]+>", ""), r"<[^>]*$", "")
-    bare = strip(x)
-    tidy = strip(F.regexp_replace(x, r"\s{2,}", " "))
-    tidy = F.regexp_replace(F.regexp_replace(tidy, '^"+|"+$', ""), "^'+|'+$", "")
-    return F.when(bare.startswith("<") | bare.endswith(">"), F.lit("")).otherwise(tidy)
+    return once(_bare(c, strict_urls), _tidy)
 
 
-def clean_lines(c: Column) -> Column:
-    return F.array_join(F.filter(F.transform(lines(c), lambda x: clean_line(x)), lambda x: x != ""), "\n")
+def clean_lines(c: Column, strict_urls: bool = False) -> Column:
+    """Every line cleaned, empty ones dropped."""
+    bare = F.transform(lines(c), lambda x: _bare(x, strict_urls))
+    return F.array_join(F.filter(F.transform(bare, _tidy), lambda x: x != ""), "\n")
 
 
 def strip_links(c: Column) -> Column:

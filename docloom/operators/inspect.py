@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -11,8 +12,8 @@ from ..functions import text as T
 def verdict_histogram(df: DataFrame, verdict: Column, order: Column) -> DataFrame:
     """Rows of each verdict, most common first, the first seen first among equals, and its share."""
     g = df.groupBy(F.upper(F.coalesce(verdict, F.lit("UNKNOWN"))).alias("verdict")).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first_seen"))
-    total = df.agg(F.count(F.lit(1)).alias("total"))
-    return g.crossJoin(F.broadcast(total)).select("verdict", "n", (F.col("n") / F.col("total")).alias("ratio"), "first_seen").orderBy(F.desc("n"), "first_seen")
+    everything = W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)  # over the verdicts, a few rows
+    return g.select("verdict", "n", (F.col("n") / F.sum("n").over(everything)).alias("ratio"), "first_seen").orderBy(F.desc("n"), "first_seen")
 
 
 def summary(df: DataFrame, verdict: Column, page: Column, section: Column) -> DataFrame:
@@ -24,7 +25,7 @@ def summary(df: DataFrame, verdict: Column, page: Column, section: Column) -> Da
 
 def sentence_violations(df: DataFrame, text: str, least: int = 2, most: int = 3) -> DataFrame:
     """Rows whose number of sentences is out of range, with that number."""
-    return df.withColumn("sentence_count", F.size(T.sentences(F.col(text)))).where(~F.col("sentence_count").between(least, most))
+    return df.withColumn("sentence_count", T.n_sentences(F.col(text))).where(~F.col("sentence_count").between(least, most))
 
 
 def sample(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
