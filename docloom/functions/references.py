@@ -84,18 +84,32 @@ def fenced(key: Key, body: str) -> str:
     return f"{name}\n```{kind}\n{body.rstrip()}\n```"
 
 
-class Hydrator:
-    """Puts source lines in the place of references. ``wanted`` collects the paths that were asked for."""
+class FileSnippets:
+    """What is known of each reference, from whole files: for one section and a few files at hand."""
 
     def __init__(self, files: dict[str, str]):
-        self.files, self.wanted, self.used = files, set(), set()
+        self.files = files
+
+    def __contains__(self, key: Key) -> bool:
+        return True
+
+    def get(self, key: Key) -> str | None:
+        return snippet(self.files.get(key[0]), key[1], key[2])
+
+
+class Hydrator:
+    """Puts source lines in the place of references. ``snippets``: what is known of each, None where there is nothing;
+    ``wanted`` collects the references that were asked for and are not known."""
+
+    def __init__(self, snippets: dict[Key, str | None] | FileSnippets):
+        self.snippets, self.wanted, self.used = snippets, set(), set()
 
     def get(self, key: Key | None) -> str | None:
-        if key is None:
+        if key is None or ".." in key[0].split("/") or key[0].startswith("/"):
             return None
-        self.wanted.add(key[0])
-        parts = key[0].split("/")
-        return None if ".." in parts or key[0].startswith("/") else snippet(self.files.get(key[0]), key[1], key[2])
+        if key not in self.snippets:
+            self.wanted.add(key)
+        return self.snippets.get(key)
 
     def _put(self, key: Key | None, otherwise: str) -> str:
         got = self.get(key)
@@ -117,7 +131,7 @@ class Hydrator:
         for line in text.splitlines():
             out.append(line)
             s = line.strip()
-            key = parse_reference(s[7:].strip() if s.lower().startswith("source:") else s)
+            key = parse_reference(s[7:].strip() if s.lower().startswith("source:") else s) if s else None
             if key is None and s.startswith("- "):
                 key = parse_reference(s[2:])
             if (got := self.get(key)) and key not in self.used:
@@ -321,3 +335,34 @@ def chat_content(response: dict) -> str | None:
             if got := flat(part):
                 return got
     return None
+
+
+def decoded(text: str | None):
+    """A JSON value; None where the text is no JSON."""
+    try:
+        return json.loads(text or "")
+    except ValueError:
+        return None
+
+
+def without_links(value):
+    """A JSON value with markdown links as their labels in every string; keys stay."""
+    if isinstance(value, str):
+        return re.sub(r"!?\[([^\]]+)\]\([^)]*\)", lambda m: m[1].strip(), value)
+    if isinstance(value, dict):
+        return {k: without_links(v) for k, v in value.items()}
+    return [without_links(v) for v in value] if isinstance(value, list) else value
+
+
+def json_without_links(text: str | None) -> str | None:
+    try:
+        return json.dumps(without_links(json.loads(text or "")), ensure_ascii=False)
+    except ValueError:
+        return None
+
+
+def first_event_text(body: str | None) -> str | None:
+    try:
+        return json.dumps(first_event(body or ""), ensure_ascii=False)
+    except ValueError:
+        return None

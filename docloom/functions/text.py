@@ -122,6 +122,12 @@ def truncate(c: Column, limit: int = 4000) -> Column:
     return F.when(F.length(t) <= limit, t).otherwise(F.concat(F.regexp_replace(F.substring(t, 1, limit - 3), r"(?U)\s+$", ""), F.lit("...")))
 
 
+def truncated(text: str, limit: int = 4000) -> str:
+    """As :func:`truncate`, of one text."""
+    t = text.strip()
+    return t if len(t) <= limit else t[: limit - 3].rstrip() + "..."
+
+
 def _bare(c: Column, strict_urls: bool) -> Column:
     """Without addresses and tags."""
     address = QUICK_ADDRESS.replace("cn)", r"cn)\b") if strict_urls else QUICK_ADDRESS
@@ -205,7 +211,7 @@ def section_verdict(c: Column) -> Column:
     good, bad = F.upper(head).startswith("PASS"), F.upper(head).startswith("FAIL")
     text = (
         F.when(s == "", F.lit("Critic returned an empty response.")).when(good, F.coalesce(F.nullif(inline, F.lit("")), F.nullif(rest, F.lit("")), F.lit("Narrative follows the expected arc.")))
-        .when(bad, F.coalesce(F.nullif(both, F.lit("")), F.lit("Critic found a gap in the narrative."))).otherwise(s)
+        .when(bad, F.coalesce(F.nullif(both, F.lit("")), F.lit("Critic did not explain the failure."))).otherwise(s)
     )
     verdict = F.when((s == "") | good, F.lit("PASS")).when(bad, F.lit("FAIL")).otherwise(F.lit("UNKNOWN"))
     return F.struct(verdict.alias("verdict"), text.alias("text"), F.when(bad, misalignment(both)).otherwise(F.lit("none")).alias("misalignment"))
@@ -258,15 +264,20 @@ def language(path: Column) -> Column:
 
 
 def merge_code(narrative: Column, blocks: Column) -> Column:
-    """(text, matched): each block's code after the first mention of its reference, or at the end."""
-    usable = F.filter(blocks, lambda b: (F.coalesce(strip(b["reference"]), F.lit("")) != "") & (F.coalesce(strip(b["code"]), F.lit("")) != "") & ~F.lower(b["reference"]).startswith("readme"))
-    zero = F.struct(narrative.alias("text"), F.lit(0).alias("matched"), F.array().cast("array<string>").alias("rest"))
-    folded = F.aggregate(
-        usable, zero,
-        lambda acc, b: F.struct(
-            F.when(F.contains(acc["text"], b["reference"]), F.overlay(acc["text"], F.concat(b["reference"], F.lit("\n"), b["code"]), F.position(b["reference"], acc["text"]), F.length(b["reference"]))).otherwise(acc["text"]).alias("text"),
-            (acc["matched"] + F.contains(acc["text"], b["reference"]).cast("int")).alias("matched"),
-            F.when(F.contains(acc["text"], b["reference"]), acc["rest"]).otherwise(F.array_append(acc["rest"], F.concat(b["reference"], F.lit("\n"), b["code"]))).alias("rest"),
-        ),
-    )
-    return F.struct(F.concat_ws("\n\n", F.array(folded["text"]), folded["rest"]).alias("text"), folded["matched"].alias("matched"))
+    """(text, matched, refs): each block's code after the first mention of its reference in the text as it is by then, or at the end;
+    ``refs``: the references that were found, in order. Null blocks are none."""
+    bare = F.transform(blocks, lambda b: F.struct(strip(F.coalesce(b["reference"], F.lit(""))).alias("reference"), strip(F.coalesce(b["code"], F.lit(""))).alias("code")))
+    usable = F.filter(bare, lambda b: (b["reference"] != "") & (b["code"] != "") & ~F.lower(b["reference"]).startswith("readme"))
+    none = F.array().cast("array<string>")
+    zero = F.struct(narrative.alias("text"), none.alias("refs"), none.alias("rest"))
+
+    def step(acc: Column, b: Column) -> Column:
+        put, found = F.concat(b["reference"], F.lit("\n"), b["code"]), F.contains(acc["text"], b["reference"])
+        return F.struct(
+            F.when(found, F.overlay(acc["text"], put, F.position(b["reference"], acc["text"]), F.length(b["reference"]))).otherwise(acc["text"]).alias("text"),
+            F.when(found, F.array_append(acc["refs"], b["reference"])).otherwise(acc["refs"]).alias("refs"), F.when(found, acc["rest"]).otherwise(F.array_append(acc["rest"], put)).alias("rest"),
+        )
+
+    done = F.aggregate(F.coalesce(usable, F.array().cast("array<struct<reference:string,code:string>>")), zero, step)
+    text = lambda d: F.when(F.size(d["rest"]) > 0, F.concat_ws("\n\n", F.rtrim(d["text"], F.lit(WHITE)), F.array_join(d["rest"], "\n\n"))).otherwise(d["text"])
+    return once(done, lambda d: F.struct(strip(text(d)).alias("text"), F.size(d["refs"]).alias("matched"), d["refs"].alias("refs")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 
-#: A model: takes a task (rewrite, critique, refine, summarise) and its parts, and gives a text.
+#: A model: takes a task (rewrite, critique or refine with _section or _block, or summarise_page) and its parts, and gives a text.
 Model = Callable[[str, dict], str]
 
 
@@ -42,48 +42,123 @@ def augment(narrative: Column, references: Column) -> Column:
     return F.concat_ws("\n\n", F.array(narrative), F.transform(references, lambda r: F.concat(F.lit("With that plan the code goes into "), r["reference"], F.lit(":\n"), r["code"])))
 
 
-def _loop(writer: Model | None, critic: Model | None, rounds: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for r in pdf.to_dict("records"):
-                text = (writer and writer("rewrite", r)) or r["stub"]
-                answers = []
-                for k in range(rounds if critic else 1):
-                    answer = critic("critique", r | {"narrative": text}) if critic else None
-                    answers.append(answer)
-                    if answer is None or answer.strip()[:4].upper() == "PASS" or not answer.strip():
-                        break
-                    if k + 1 < rounds and writer:
-                        text = writer("refine", r | {"narrative": text, "critic": answer}) or text
-                out.append((r["row_id"], text, answers[-1], [a for a in answers if a is not None]))
-            yield pd.DataFrame(out, columns=["row_id", "narrative", "answer", "history"])
+#: Texts and kinds where there is no critic, no answer or no explanation.
+NO_CRITIC = "No critic LLM configured; manual verification required."
+_FAILED = ("FAIL", "Critic inference failed; please review manually.", "intent_code_mismatch")
+
+
+def judge(answer: str | None, block: bool = False) -> tuple[str, str, str]:
+    """(verdict, text, misalignment) of a critic's answer about a section or a block; None is a critic that failed."""
+    if answer is None:
+        return _FAILED
+    text = answer.strip()
+    if not text:
+        return "PASS", "Critic returned an empty response.", "none"
+    head, *rest = text.splitlines()
+    inline, below = head.strip()[4:].strip(), "\n".join(rest).strip()
+    both = "\n".join(filter(None, (inline, below)))
+    if head.strip().upper().startswith("PASS"):
+        said = both if block else inline or below
+        return "PASS", said or f"Narrative follows the expected {'reasoning ' * block}arc.", "none"
+    if head.strip().upper().startswith("FAIL"):
+        said = both or "Critic did not explain the failure."
+        low = said.lower()
+        return "FAIL", said, next((kind for kind, phrases in T.MISALIGNED if any(p in low for p in phrases)), "none")
+    return "UNKNOWN", text, "none"
+
+
+def _visible(text: str) -> str:
+    """As :func:`text.visible_text`, of one text."""
+    keep = [x for x in map(str.strip, text.strip().splitlines()) if not (x.lower().startswith("in the ") and " repository" in x.lower()) and not x.lower().startswith(("system prompt:", "user:", "assistant:")) and not x.startswith("Source:")]
+    return "\n".join(keep).strip("\n")
+
+
+def _ask(model: Model | None, task: str, parts: dict) -> str | None:
+    """The model's answer; None where it fails, so that one row does not end the run."""
+    try:
+        return model(task, parts) if model else None
+    except Exception:
+        return None
+
+
+_RESULT = "narrative string, verdict string, critic string, misalignment string, history array<string>"
+
+
+def _loop(writer: Model | None, critic: Model | None, rounds: int, block: bool):
+    """Write, judge, refine between rounds: the same for sections and blocks."""
+    kind = "block" if block else "section"
+
+    def one(r: dict) -> tuple:
+        draft = (_ask(writer, f"rewrite_{kind}", r) or "").strip()
+        text, history = _visible(draft or r["stub"]), []
+        for k in range(max(1, rounds if critic else 1)):
+            verdict, said, bad = judge(_ask(critic, f"critique_{kind}", r | {"narrative": text}), block) if critic else ("PASS", NO_CRITIC, "none")
+            history.append(said)
+            if verdict == "PASS" or k + 1 >= rounds:
+                break
+            better = (_ask(writer, f"refine_{kind}", r | {"narrative": text, "critic": said, "misalignment": bad}) or "").strip()
+            text = _visible(better or text) or text
+        return text, verdict, said, bad, history
+
+    @F.pandas_udf(_RESULT)
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([one(r) for r in rows.to_dict("records")], columns=["narrative", "verdict", "critic", "misalignment", "history"])
 
     return run
 
 
-def narrate(secs: DataFrame, row_id: str, writer: Model | None = None, critic: Model | None = None, rounds: int = 1) -> DataFrame:
-    """Sections (row_id, page, section, text, code_blocks) to narrative records.
+def _results(s: DataFrame, parts: list[str], writer: Model | None, critic: Model | None, rounds: int, block: bool) -> DataFrame:
+    """``s`` with a struct ``v``: from the loop, or, without any model, from expressions alone."""
+    if writer is None and critic is None:
+        v = F.struct(T.visible_text(F.col("stub")).alias("narrative"), F.lit("PASS").alias("verdict"), F.lit(NO_CRITIC).alias("critic"), F.lit("none").alias("misalignment"), F.array(F.lit(NO_CRITIC)).alias("history"))
+        return s.withColumn("v", v)
+    return s.withColumn("v", _loop(writer, critic, rounds, block)(F.struct(*[p for p in [*parts, "stub"] if p in s.columns])))
+
+
+def narrate(secs: DataFrame, keys: str | list[str], writer: Model | None = None, critic: Model | None = None, rounds: int = 1) -> DataFrame:
+    """Sections (``keys``, page, section, text, code_blocks, and repo if there) to narrative records.
 
     The loop runs within one task a section: write, judge, and refine until a pass or the last round. Without a model
-    the stub and a pass are the result. The score is that of the narrative before code is appended.
+    the stub and a pass are the result. A writer that fails gives the stub, a critic that fails a FAIL. The score is that of the narrative before
+    code is appended. Rows are not joined, so keys may repeat or be null; a null text or null blocks are empty; an empty table stays empty.
     """
+    keys = [keys] if isinstance(keys, str) else keys
     first = F.get("code_blocks", F.lit(0))
-    code = F.coalesce(first["code"], F.lit(""))
-    s = secs.withColumn("stub", design_stub(F.col("section"), F.coalesce(first["language"], F.lit("")), code))
-    if writer is None and critic is None:
-        s = s.withColumns({"narrative": T.visible_text(F.col("stub")), "answer": F.lit(None).cast("string"), "history": F.array().cast("array<string>")})
-    else:
-        got = s.select(F.col(row_id).alias("row_id"), "page", "section", "text", "stub").mapInPandas(_loop(writer, critic, rounds), "row_id long, narrative string, answer string, history array<string>")
-        s = s.join(got.withColumnRenamed("row_id", row_id), row_id).withColumn("narrative", T.visible_text(F.col("narrative")))
-    v = F.when(F.col("answer").isNull(), F.struct(F.lit("PASS").alias("verdict"), F.lit("No critic is set.").alias("text"), F.lit("none").alias("misalignment"))).otherwise(T.section_verdict(F.col("answer")))
-    s = s.withColumn("v", v).withColumn("references", usable_references(F.col("code_blocks")))
+    s = secs.withColumn("stub", design_stub(F.col("section"), F.coalesce(first["language"], F.lit("")), F.coalesce(first["code"], F.lit(""))))
+    s = s.withColumn("code", joined_code(F.coalesce("code_blocks", F.array().cast(secs.schema["code_blocks"].dataType))))
+    s = _results(s, ["repo", "page", "section", "text", "code"], writer, critic, rounds, block=False).withColumn("references", usable_references(F.col("code_blocks")))
     return s.select(
-        row_id, "page", "section", F.col("text").alias("original_context"), augment(F.col("narrative"), F.col("references")).alias("narrative"), F.col("v.text").alias("critic"),
-        F.col("v.verdict").alias("verdict"), F.col("v.misalignment").alias("misalignment"), T.learnability(F.col("narrative")).alias("learnability"), F.col("history").alias("critic_history"), F.col("references").alias("code_blocks"),
+        *keys, "page", "section", F.col("text").alias("original_context"), augment(F.col("v.narrative"), F.coalesce("references", F.array().cast("array<struct<reference:string,code:string>>"))).alias("narrative"), F.col("v.critic").alias("critic"),
+        F.col("v.verdict").alias("verdict"), F.col("v.misalignment").alias("misalignment"), T.learnability(F.col("v.narrative")).alias("learnability"), F.col("v.history").alias("critic_history"), F.col("references").alias("code_blocks"),
     )
 
 
+def narrate_blocks(blocks: DataFrame, keys: list[str], writer: Model | None = None, critic: Model | None = None, rounds: int = 1) -> DataFrame:
+    """Blocks (``keys``, explanation, code, language, mermaid, and repo, page and section if there) to block records.
+
+    As :func:`narrate`, block by block, with the scaffold of the last text: its first sentence, needs, mechanisms and names from the code.
+    """
+    s = blocks.withColumn("stub", design_stub(T.strip(F.coalesce("explanation", F.lit(""))), F.col("language"), F.coalesce("code", F.lit(""))))
+    s = _results(s, ["repo", "page", "section", "explanation", "code", "language", "mermaid"], writer, critic, rounds, block=True)
+    return s.select(
+        *keys, F.col("v.narrative").alias("rewrite"), F.col("v.critic").alias("critic"), F.col("v.verdict").alias("verdict"), F.col("v.misalignment").alias("misalignment"),
+        T.learnability(F.col("v.narrative")).alias("learnability"), F.col("v.history").alias("critic_history"), T.scaffold(F.col("v.narrative"), F.coalesce("code", F.lit(""))).alias("scaffold"),
+    )
+
+
+def summarise_pages(pages: DataFrame, title: str, text: str, writer: Model | None = None) -> DataFrame:
+    """``pages`` with ``summary``: the model's, else the first paragraph of prose, else the title."""
+    fallback = F.coalesce(F.nullif(T.summary_paragraph(F.coalesce(text, F.lit(""))), F.lit("")), F.col(title))
+    if writer is None:
+        return pages.withColumn("summary", fallback)
+
+    @F.pandas_udf("string")
+    def ask(titles: pd.Series, texts: pd.Series) -> pd.Series:
+        return pd.Series([(_ask(writer, "summarise_page", {"page": t, "text": x}) or "").strip() for t, x in zip(titles, texts, strict=True)], dtype=object)
+
+    return pages.withColumn("summary", F.coalesce(F.nullif(ask(title, text), F.lit("")), fallback))
+
+
 def _used_by(x: dict) -> str:
     return ", ".join(v for v in (x.get("used_by") or ()) if v)
 

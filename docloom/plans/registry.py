@@ -206,10 +206,18 @@ def file_languages(spark, d):
 _PROSE = "'File: a.py' || chr(10) || chr(10) || '```py' || chr(10) || 'x' || chr(10) || chr(10) || 'y' || chr(10) || '```' || chr(10) || chr(10) || text || chr(10) || chr(10) || 'end'"
 
 
-@query(f"SELECT conv_id, turn, {s_strip('string_split(' + s_strip('text') + ', chr(10) || chr(10))[1]')} AS summary FROM conversations WHERE NOT regexp_matches(lower({s_strip('text')}), '^(file:|source:|design intent:|table of|#)') AND {s_strip('text')} <> ''")
+_HEADED = "CASE turn % 3 WHEN 0 THEN '# ' || text WHEN 1 THEN 'Design intent: ' || text ELSE text END"
+_PAGE = "'File: a.py' || chr(10) || chr(10) || '```py' || chr(10) || 'x' || chr(10) || chr(10) || 'y' || chr(10) || '```' || chr(10) || chr(10) || " + _HEADED + " || CASE WHEN turn % 2 = 0 THEN chr(10) || chr(10) || 'end' ELSE '' END"
+
+
+def s_summary(x: str) -> str:
+    parts = f"list_filter(list_transform(string_split({s_strip(f"regexp_replace({x}, '(?is)```.*?```', '', 'g')")}, chr(10) || chr(10)), lambda q: {s_strip('q')}), lambda q: q <> '')"
+    return f"coalesce(list_filter({parts}, lambda q: NOT regexp_matches(lower(q), '^(file:|source:|design intent:|table of|#)'))[1], ({parts})[1], '')"
+
+
+@query(f"SELECT conv_id, turn, {s_summary(_PAGE)} AS summary FROM conversations")
 def summary_paragraphs(spark, d):
-    c = table(spark, d, "conversations").where((T.strip(F.col("text")) != "") & ~F.lower(T.strip(F.col("text"))).rlike("^(file:|source:|design intent:|table of|#)"))
-    return c.select("conv_id", "turn", T.summary_paragraph(F.expr(_PROSE.replace("chr(10)", "char(10)"))).alias("summary"))
+    return table(spark, d, "conversations").select("conv_id", "turn", T.summary_paragraph(F.expr(_PAGE.replace("chr(10)", "char(10)"))).alias("summary"))
 
 
 @query("SELECT event_id, '{\"k\": ' || event_id || '}' AS found FROM events")
@@ -249,13 +257,13 @@ def sentence_violations(spark, d):
 
 @query("SELECT doc_id, source FROM documents WHERE contains(lower(source), 'rc1') AND contains(lower(lang), 'e')")
 def inspector_filter(spark, d):
-    return table(spark, d, "documents").where(F.lower("source").contains("RC1".lower()) & F.lower("lang").contains("e")).select("doc_id", "source")
+    docs = table(spark, d, "documents").select("doc_id", "source", F.col("source").alias("page"), F.col("lang").alias("section"))
+    return inspect.filtered(docs, "RC1", "e").select("doc_id", "source")
 
 
 @query(f"SELECT sum(n)::BIGINT AS total, avg(n) AS mean, max(n) AS longest, count(*) AS entries FROM (SELECT {s_tokens('text')}::BIGINT AS n FROM documents)")
 def token_statistics(spark, d):
-    n = table(spark, d, "documents").select(T.n_tokens(F.col("text")).cast("long").alias("n"))
-    return n.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.coalesce(F.avg("n"), F.lit(0.0)).alias("mean"), F.max("n").alias("longest"), F.count(F.lit(1)).alias("entries"))
+    return inspect.token_statistics(table(spark, d, "documents"), T.n_tokens(F.col("text")))
 
 
 @query(f"SELECT doc_id, {s_tokens('text')}::BIGINT AS n FROM documents ORDER BY n DESC, doc_id LIMIT 5")
@@ -305,10 +313,9 @@ def skip_and_first_sections(spark, d):
     return left.withColumn("rn", F.row_number().over(W.partitionBy("source").orderBy("doc_id"))).where("rn <= 3").select("doc_id", "source")
 
 
-@query("SELECT doc_id, (row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 4 AS batch FROM documents")
+@query("SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 64 AS batch FROM documents")
 def batch_numbering(spark, d):
-    rn = F.row_number().over(W.partitionBy("source").orderBy("doc_id"))
-    return table(spark, d, "documents").select("doc_id", F.floor((rn - 1) / 4).alias("batch"))
+    return wiki.batches(table(spark, d, "documents").select("doc_id"), ["doc_id"], 64).select("doc_id", "batch")
 
 
 @query("SELECT doc_id AS id, text FROM documents UNION ALL SELECT item_id, text FROM benchmark")
@@ -343,7 +350,7 @@ _SECTIONS = f"""(SELECT conv_id, '__intro__' AS section_key, NULL AS heading, 'i
  UNION ALL SELECT conv_id, {s_key('role')}, role, string_agg({_BODY}, chr(10) || chr(10) ORDER BY turn), min(turn) FROM conversations GROUP BY conv_id, role)"""
 
 
-@query(f"SELECT conv_id, conv_id || ' Conversation ' || conv_id AS page_title, row_number() OVER (PARTITION BY conv_id ORDER BY o) - 1 AS section_ord, section_key, heading, text FROM {_SECTIONS}")
+@query(f"SELECT conv_id, 0 AS page_ord, conv_id || ' Conversation ' || conv_id AS page_title, row_number() OVER (PARTITION BY conv_id ORDER BY o) - 1 AS section_ord, section_key, heading, text FROM {_SECTIONS}")
 def page_section_split(spark, d):
     return wiki.sections(_wiki(spark, d), "conv_id", "md").drop("page_key")
 
@@ -358,13 +365,13 @@ def chunk_assembly(spark, d):
 @query(f"SELECT conv_id, string_agg(text, chr(10) || chr(10) ORDER BY o) FILTER (WHERE trim(text) <> '') AS full_text FROM {_SECTIONS} GROUP BY conv_id")
 def page_full_text(spark, d):
     s = wiki.sections(_wiki(spark, d), "conv_id", "md")
-    return s.groupBy("conv_id").agg(F.array_join(F.filter(F.transform(F.array_sort(F.collect_list(F.struct("section_ord", "text"))), lambda x: T.strip(x["text"])), lambda x: x != ""), "\n\n").alias("full_text"))
+    return wiki.full_text(s, ["conv_id"])
 
 
 @query(f"SELECT conv_id, section_key, '# ' || conv_id || ' Conversation ' || conv_id || coalesce(' :: ' || heading, '') || chr(10) || chr(10) || text AS block FROM {_SECTIONS} WHERE section_key = 'user' AND contains(lower(text), 'th')")
 def content_filter(spark, d):
-    s = wiki.sections(_wiki(spark, d), "conv_id", "md").where((F.col("section_key") == T.heading_key(F.lit("User"))) & F.lower("text").contains("th"))
-    return s.select("conv_id", "section_key", F.concat(F.lit("# "), F.col("page_title"), F.coalesce(F.concat(F.lit(" :: "), F.col("heading")), F.lit("")), F.lit("\n\n"), F.col("text")).alias("block"))
+    got = wiki.filter_content(wiki.sections(_wiki(spark, d), "conv_id", "md"), ["conv_id"], section="User", contains="TH")
+    return got.select("conv_id", T.heading_key(F.col("heading")).alias("section_key"), "block")
 
 
 @query(f"SELECT conv_id, 'Assist' AS name, section_key FROM {_SECTIONS} WHERE section_key = 'assistant'")
@@ -394,11 +401,18 @@ def outline_parents(spark, d):
     return o.select("r_regionkey", F.col("ord").cast("long"), F.col("level").cast("long"), "number", "title", F.col("parent_ord").cast("long"))
 
 
-@query("""SELECT r_regionkey, '- ' || r_regionkey || ' ' || r_name || coalesce((SELECT string_agg(chr(10) || '  - ' || n_regionkey || '.' || n_nationkey || ' ' || n_name, '' ORDER BY n_nationkey) FROM nation WHERE n_regionkey = r_regionkey AND NOT contains(n_name, 'A')), '')
- || CASE WHEN contains('- Annex', 'A') THEN '' END AS outline FROM region WHERE NOT contains(r_name, 'A')""")
+@query("""SELECT r_regionkey, coalesce(string_agg(line, chr(10) ORDER BY o) FILTER (WHERE NOT contains(line, 'A')), '') AS outline FROM (
+  SELECT r_regionkey, -1 AS o, '- ' || r_regionkey || ' ' || r_name AS line FROM region
+  UNION ALL SELECT n_regionkey, n_nationkey, '  - ' || n_regionkey || '.' || n_nationkey || ' ' || n_name FROM nation) GROUP BY r_regionkey""")
 def outline_sanitizer(spark, d):
-    got = wiki.sanitize_outline(_outline(spark, d), "r_regionkey", "md", [("Appendix", "Annex")], ["A"])
-    return got.join(table(spark, d, "region").where(~F.col("r_name").contains("A")).select("r_regionkey"), "r_regionkey")
+    return wiki.sanitize_outline(_outline(spark, d), "r_regionkey", "md", [("Appendix", "Annex")], ["A"])
+
+
+@query("SELECT s_suppkey, i AS ord, i AS level, CASE WHEN i > 0 THEN i - 1 END AS parent_ord FROM supplier, range(12 + s_suppkey % 20) AS t(i)")
+def outline_any_depth(spark, d):
+    text = F.expr("concat_ws('\n', transform(sequence(0, cast(11 + s_suppkey % 20 as int)), i -> concat(repeat('  ', i), '- item ', i)))")
+    o = wiki.outline(table(spark, d, "supplier").select("s_suppkey", text.alias("md")), "s_suppkey", "md")
+    return o.select("s_suppkey", F.col("ord").cast("long"), F.col("level").cast("long"), F.col("parent_ord").cast("long"))
 
 
 @query("SELECT r_regionkey, 'Available pages for ' || r_name || ':' || chr(10) || '- 1 ' || r_name AS segment FROM region")
@@ -449,71 +463,4 @@ def text_block_extraction(spark, d):
     return table(spark, d, "documents").select("doc_id", F.explode(readers.text_blocks(payload)).alias("block"))
 
 
-# --- narratives ------------------------------------------------------------------------------------------------------
-
-_MERGE = "WITH m AS (SELECT p_partkey, 'see ' || p_brand || '.py and ' || p_brand || '.py' AS n, p_brand || '.py' AS r, p_type AS c FROM part)"
-
-
-@query(f"{_MERGE} SELECT p_partkey, 'see ' || r || chr(10) || c || ' and ' || r || chr(10) || chr(10) || 'zz.py' || chr(10) || 'Q' AS merged, 1 AS matched FROM m")
-def merge_first_occurrence(spark, d):
-    ref = F.concat("p_brand", F.lit(".py"))
-    block = lambda r, c: F.struct(r.alias("reference"), c.alias("code"))
-    blocks = F.array(block(ref, F.col("p_type")), block(F.lit("zz.py"), F.lit("Q")), block(F.lit("README.md"), F.lit("no")), block(F.lit(" "), F.lit("no")))
-    m = table(spark, d, "part").select("p_partkey", T.merge_code(F.concat(F.lit("see "), ref, F.lit(" and "), ref), blocks).alias("m"))
-    return m.select("p_partkey", F.col("m.text").alias("merged"), F.col("m.matched").alias("matched"))
-
-
-@query("SELECT count(*) AS records, 2 * count(*) AS code_blocks, count(*) AS matched FROM part")
-def merge_statistics(spark, d):
-    return merge_first_occurrence(spark, d).agg(F.count(F.lit(1)).alias("records"), (2 * F.count(F.lit(1))).alias("code_blocks"), F.sum("matched").alias("matched"))
-
-
-@query("SELECT mode, count(*) AS n, string_agg(x, '|' ORDER BY p_partkey) AS texts FROM (SELECT p_partkey, unnest(['code', 'cross']) AS mode, unnest([p_name || ' has code', p_name || ' is used by ' || p_brand]) AS x FROM part) GROUP BY mode")
-def narratives_by_mode(spark, d):
-    modes = F.array(F.struct(F.lit("code").alias("mode"), F.concat("p_name", F.lit(" has code")).alias("x")), F.struct(F.lit("cross").alias("mode"), F.concat("p_name", F.lit(" is used by "), "p_brand").alias("x")))
-    t = table(spark, d, "part").select("p_partkey", F.inline(modes))
-    return t.groupBy("mode").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", "x"))), lambda y: y["x"]), "|").alias("texts"))
-
-
-def _records(spark, d):
-    text = F.expr("concat('intro. ', text, char(10), '**Sources:** [src/a.py:1-2]()', char(10), '```python', char(10), 'total = 1', char(10), '```')")
-    c = table(spark, d, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("row_id"), F.col("conv_id").cast("string").alias("page"), F.col("role").alias("section"), text.alias("text"))
-    return narrate.narrate(c.withColumn("code_blocks", hydrate.code_blocks("text")), "row_id")
-
-
-@query("SELECT conv_id * 1000 + turn AS row_id, 'PASS' AS verdict, 'none' AS misalignment, 'src/a.py:1-2' AS reference, 'total = 1' AS code FROM conversations")
-def narrative_records(spark, d):
-    return _records(spark, d).select("row_id", "verdict", "misalignment", F.col("code_blocks")[0]["reference"].alias("reference"), F.col("code_blocks")[0]["code"].alias("code"))
-
-
-@query()
-def narrative_text(spark, d):
-    return _records(spark, d).select("row_id", sinks.narrative_text(True).alias("text"))
-
-
-@query("SELECT conv_id, turn, 'see src/' || turn || '.py:1-1' || chr(10) || '```python' || chr(10) || role || chr(10) || chr(10) || '```' AS text FROM conversations")
-def hydrated_sections(spark, d):
-    c = table(spark, d, "conversations")
-    files = c.select(F.col("conv_id").alias("repo"), F.expr("concat('src/', turn, '.py')").alias("path"), F.expr("concat(role, char(10), 'second')").alias("text"))
-    secs = c.select("conv_id", "turn", F.col("conv_id").alias("repo"), F.expr("concat('see [src/', turn, '.py:1-1]()')").alias("text"))
-    got = hydrate.hydrate_sections(secs, files, ["conv_id", "turn"], "text").select("conv_id", "turn", "text")
-    return got.withColumn("text", F.regexp_replace("text", r"(src/\d+\.py):1\n", "$1:1-1\n"))
-
-
-@query("SELECT conv_id, turn, 'src/' || turn || '.py:3-4' AS label, 'src/' || turn || '.py' AS path, 3::BIGINT AS first_line, 4::BIGINT AS last_line, 2::BIGINT AS page_line, 'above' AS context FROM conversations")
-def citation_facts(spark, d):
-    text = F.expr("concat('above', char(10), '**Sources:** [src/', turn, '.py:3-4]()', char(10), 'below')")
-    c = table(spark, d, "conversations").select("conv_id", "turn", F.inline(hydrate.citations(text)))
-    return c.select("conv_id", "turn", "label", "path", F.col("start").alias("first_line"), F.col("end").alias("last_line"), "page_line", "context")
-
-
-@query("SELECT conv_id, turn, role || ' text' AS explanation, 'x = ' || turn AS code, 'python' AS language FROM conversations")
-def fenced_blocks(spark, d):
-    text = F.expr("concat(role, ' text', char(10), '```Python', char(10), 'x = ', turn, char(10), '```', char(10))")
-    return table(spark, d, "conversations").select("conv_id", "turn", F.inline(hydrate.split_blocks(text))).select("conv_id", "turn", "explanation", "code", "language")
-
-
-@query("SELECT conv_id, turn, 'src/' || turn || '.py:1,docs/x.md' AS sources FROM conversations")
-def section_source_labels(spark, d):
-    text = F.expr("concat('**SOURCES:** [src/', turn, '.py:1](), [docs/x.md]()', char(10), '**Sources:** src/', turn, '.py:1; ??')")
-    return table(spark, d, "conversations").select("conv_id", "turn", F.array_join(hydrate.section_sources(text), ",").alias("sources"))
+from . import runs  # noqa: E402, F401  registers the queries of whole runs

@@ -50,7 +50,7 @@ FILES = {"src/a.py": "\n".join(f"L{i}" for i in range(1, 6)), "src/long.py": "\n
 
 
 def test_hydration():
-    run = lambda t: R.Hydrator(FILES).run(t)
+    run = lambda t: R.Hydrator(R.FileSnippets(FILES)).run(t)
     assert run("[src/a.py:2-3]()") == "src/a.py:2-3\n```python\nL2\nL3\n\n```"
     assert run("[src/a.py:9-12]()") == "src/a.py:9-12"
     assert "L80\n" in run("[src/long.py]()") and "L81" not in run("[src/long.py]()").split("\n```\n")[0]
@@ -59,7 +59,7 @@ def test_hydration():
     assert run("see [x](https://a.b/c) and [y](no.py)") == "see [x](https://a.b/c) and [y](no.py)"
     assert run("<details>[src/a.py:1]()</details>") == "<details>[src/a.py:1]()</details>"
     assert R.snippet(FILES["src/a.py"], 4, 2) == "L4" and R.snippet("", 1, 0) is None
-    assert R.parse_reference("../x.py") == ("../x.py", 1, 0) and R.Hydrator({"../x.py": "a"}).get(("../x.py", 1, 0)) is None
+    assert R.parse_reference("../x.py") == ("../x.py", 1, 0) and R.Hydrator(R.FileSnippets({"../x.py": "a"})).get(("../x.py", 1, 0)) is None
 
 
 def test_hydrated_frame_equals_the_rules(spark):
@@ -68,7 +68,7 @@ def test_hydrated_frame_equals_the_rules(spark):
     fs = spark.createDataFrame([("r", p, t) for p, t in files.items()], "repo string, path string, text string")
     secs = spark.createDataFrame([(i, "r", t) for i, t in enumerate(texts)], "i long, repo string, text string")
     got = {r.i: r.text for r in hydrate.hydrate_sections(secs, fs, ["i"], "text").collect()}
-    assert got == {i: R.Hydrator(files).run(t or "") for i, t in enumerate(texts)}
+    assert got == {i: R.Hydrator(R.FileSnippets(files)).run(t or "") for i, t in enumerate(texts)}
 
 
 def test_sections_merge(spark):
@@ -93,10 +93,10 @@ def test_outline_parent_is_the_stack_parent(spark, levels):
 
 def test_narrate_loop(spark):
     secs = spark.createDataFrame([(1, "p", "s", "text", [])], "row_id long, page string, section string, text string, code_blocks array<struct<label:string,code:string,language:string,mermaid:string>>")
-    writer = lambda task, r: "second" if task == "refine" else "first"
+    writer = lambda task, r: "second" if task == "refine_section" else "first"
     critic = lambda task, r: "PASS fine" if r["narrative"] == "second" else "FAIL\nmissing intent"
     r = narrate.narrate(secs, "row_id", writer, critic, rounds=3).first()
-    assert (r.narrative, r.verdict, r.critic, r.critic_history) == ("second", "PASS", "fine", ["FAIL\nmissing intent", "PASS fine"])
+    assert (r.narrative, r.verdict, r.critic, r.critic_history) == ("second", "PASS", "fine", ["missing intent", "fine"])
     assert narrate.narrate(secs, "row_id").first().verdict == "PASS"
 
 
@@ -149,7 +149,7 @@ def test_narrative_templates(spark):
 def test_hydration_follows_four_files(spark):
     files = {"a.py": "[x](b.py)", "b.py": "c.py:1-1", "c.py": "d.py:1-1", "d.py": "last"}
     text = "[a.py]()"
-    want = R.Hydrator(files).run(text)
+    want = R.Hydrator(R.FileSnippets(files)).run(text)
     df = spark.createDataFrame([(1, "r", text)], "i int, repo string, text string")
     fs = spark.createDataFrame([("r", k, v) for k, v in files.items()], "repo string, path string, text string")
     assert "last" in want
