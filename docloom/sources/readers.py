@@ -109,7 +109,7 @@ def index_targets(targets: DataFrame, wiki: DataFrame) -> DataFrame:
 
 def repo_files(spark: SparkSession, path: str, repo: str) -> DataFrame:
     """repo, path, text of every file below a checkout."""
-    df = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    df = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
     full = F.regexp_replace(F.col("_metadata.file_path"), r"^file:/+", "/")
     return df.select(F.lit(repo).alias("repo"), F.substring(full, len(path.rstrip("/")) + 2, 1 << 30).alias("path"), F.col("value").alias("text"))
 
@@ -199,7 +199,7 @@ def decode_page_text(text: pd.Series) -> pd.Series:
 
 def page_texts(spark: SparkSession, path: str) -> DataFrame:
     """(path, text) of page dumps, decoded."""
-    return spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), decode_page_text("value").alias("text"))
+    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), decode_page_text("value").alias("text"))
 
 
 def expand_repos(tokens: Iterable[str], inside: tuple[str, ...] = ()) -> list[str]:

@@ -114,8 +114,8 @@ def test_sources_and_sinks(spark, tmp_path):
         z.writestr("root/b.md", "y")
     assert sorted((r.path, r.text) for r in readers.zip_files(spark, str(tmp_path / "r.zip")).collect()) == [("b.md", "y"), ("src/a.py", "x")]
     (tmp_path / "co" / "d").mkdir(parents=True)
-    (tmp_path / "co" / "d" / "f.txt").write_text("hi\n")
-    assert [(r.path, r.text.rstrip()) for r in readers.repo_files(spark, str(tmp_path / "co"), "r").collect()] == [("d/f.txt", "hi")]
+    (tmp_path / "co" / "d" / "f.txt").write_text("hi\nyou\n")
+    assert [(r.path, r.text.rstrip()) for r in readers.repo_files(spark, str(tmp_path / "co"), "r").collect()] == [("d/f.txt", "hi\nyou")]
     (tmp_path / "repos").write_text("# c\na@1, b\n\n")
     assert sorted((r.repo, r.commit) for r in readers.repo_list(spark, str(tmp_path / "repos"), "z").collect()) == [("a", "1"), ("b", "z")]
     pages = json.dumps([{"page_plan": {"id": "1", "title": "T"}, "content": "c"}, 5, {"page_plan": {"title": " "}}])
