@@ -11,22 +11,23 @@ from ..functions import text as T
 
 
 def verdict_histogram(df: DataFrame, verdict: Column, order: Column) -> DataFrame:
-    """Rows of each verdict, most common first, the first seen first among equals, and its share."""
+    """Rows of each verdict, most common first, the first seen first among equals, and its share; a null verdict is UNKNOWN; an empty table
+    has no verdicts."""
     g = df.groupBy(F.upper(F.coalesce(verdict, F.lit("UNKNOWN"))).alias("verdict")).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first_seen"))
     everything = W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)  # over the verdicts, a few rows
     return g.select("verdict", "n", (F.col("n") / F.sum("n").over(everything)).alias("ratio"), "first_seen").orderBy(F.desc("n"), "first_seen")
 
 
 def summary(df: DataFrame, verdict: Column, page: Column, section: Column) -> DataFrame:
-    """Totals; a null page or section counts as one value."""
+    """One row of totals, zeros for an empty table; a null page or section counts as one value."""
     distinct = lambda c: F.count_distinct(c) + F.coalesce(F.max(c.isNull().cast("int")), F.lit(0))
     g = df.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.upper(F.coalesce(verdict, F.lit("UNKNOWN"))) == "PASS").alias("passed"), distinct(page).alias("pages"), distinct(section).alias("sections"))
     return g.select("total", "passed", (F.col("total") - F.col("passed")).alias("failed"), F.coalesce(F.try_divide("passed", "total"), F.lit(0.0)).alias("pass_ratio"), "pages", "sections")
 
 
 def sentence_violations(df: DataFrame, text: str, least: int = 2, most: int = 3) -> DataFrame:
-    """Rows whose number of sentences is out of range, with that number."""
-    return df.withColumn("sentence_count", T.n_sentences(F.col(text))).where(~F.col("sentence_count").between(least, most))
+    """Rows whose number of sentences is out of range, with that number; a null text has none."""
+    return df.withColumn("sentence_count", T.n_sentences(F.coalesce(text, F.lit('')))).where(~F.col("sentence_count").between(least, most))
 
 
 def filtered(df: DataFrame, page: str | None = None, section: str | None = None) -> DataFrame:
@@ -79,5 +80,5 @@ def shown(with_code: bool = False) -> Column:
 
 
 def sample(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
-    """``n`` rows in the order of a hash of the key: the same ones each time."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n)
+    """``n`` rows in the order of a hash of seed and key: the same ones each time, on any cluster; null keys come first."""
+    return df.orderBy(F.md5(F.concat_ws("-", F.lit(str(seed)), F.col(key).cast("string"))), key).limit(n)

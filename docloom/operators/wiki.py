@@ -115,44 +115,66 @@ def unresolved(names: DataFrame, resolved: DataFrame, keys: list[str], name: str
 
 
 def sanitize_outline(docs: DataFrame, key: str, text: str, replacements: list[tuple[str, str]], excludes: list[str]) -> DataFrame:
-    """Literal replacements in order, lines with an excluded token dropped, runs of blank lines collapsed, ends trimmed."""
+    """(key, outline): literal replacements in order, lines with an excluded token dropped, runs of blank lines collapsed, ends trimmed.
+
+    A null text gives a null, an empty one an empty outline; rows pass one by one, so keys may repeat.
+    """
     c = F.col(text)
     for old, new in replacements:
         c = F.replace(c, F.lit(old), F.lit(new))
     kept = F.filter(T.lines(c), lambda x: ~F.exists(F.array(*[F.lit(e) for e in excludes]), lambda e: F.contains(x, e)) if excludes else F.lit(True))
-    joined = F.array_join(F.transform(kept, lambda x: F.regexp_replace(x, r"\s+$", "")), "\n")
+    joined = F.array_join(F.transform(kept, lambda x: F.rtrim(x, F.lit(T.WHITE))), "\n")
     return docs.select(key, F.regexp_replace(F.regexp_replace(joined, "\n{3,}", "\n\n"), "^\n+|\n+$", "").alias("outline"))
 
 
 def outline_segment(docs: DataFrame, key: str, text: str, repo: Column) -> DataFrame:
-    """The stretch of lines under the header of a repository, else the first stretch, else the whole text."""
-    t = line_table(docs.withColumn("_repo", repo), key, text).join(docs.select(key, repo.alias("_repo")), key)
-    head = F.regexp_extract(T.strip(F.col("line")), r"^Available pages for (.*):$", 1)
-    t = t.withColumn("head", F.nullif(head, F.lit(""))).withColumn("seg", F.sum(F.col("head").isNotNull().cast("int")).over(running(key)))
-    parts = t.groupBy(key, "_repo", "seg").agg(F.max("head").alias("head"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n").alias("segment"))
-    rank = W.partitionBy(key).orderBy((F.col("head") != F.col("_repo")) | F.col("head").isNull(), F.col("seg") == 0, "seg")
-    return parts.withColumn("rn", F.row_number().over(rank)).where("rn = 1").select(key, T.strip(F.col("segment")).alias("segment"))
+    """(key, segment): the lines under the header of a repository, else the first stretch, else the whole text.
+
+    An outline is one text of one row, so its lines are an array and nothing is shuffled. A null text is null; keys may repeat.
+    """
+    head = lambda x: F.regexp_extract(T.strip(x), r"^Available pages for (.*):$", 1)
+
+    def cut(s: Column) -> Column:
+        heads = F.filter(F.transform(s["lines"], lambda x, i: F.struct(i.alias("i"), head(x).alias("h"))), lambda h: h["h"] != "")
+        return T.once(F.struct(s["lines"].alias("lines"), s["repo"].alias("repo"), heads.alias("heads")), chosen)
+
+    def chosen(s: Column) -> Column:
+        first = F.coalesce(F.get(F.filter(s["heads"], lambda h: h["h"] == s["repo"]), F.lit(0)), F.get(s["heads"], F.lit(0)))["i"]
+        return T.once(F.struct(s["lines"].alias("lines"), s["heads"].alias("heads"), F.coalesce(first, F.lit(0)).alias("a")), stretch)
+
+    def stretch(s: Column) -> Column:
+        after = F.array_min(F.transform(F.filter(s["heads"], lambda h: h["i"] > s["a"]), lambda h: h["i"]))
+        return T.strip(F.array_join(F.slice(s["lines"], s["a"] + 1, F.coalesce(after, F.size(s["lines"])) - s["a"]), "\n"))
+
+    return docs.select(key, T.once(F.struct(T.lines(F.col(text)).alias("lines"), repo.alias("repo")), cut).alias("segment"))
 
 
 def strip_markdown(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Prose of markdown: no fences, tables or charts; marks of headings and lists dropped; single blank lines."""
-    t = line_table(docs, key, text).withColumn("s", T.strip(F.col("line"))).withColumn("fence", F.col("s").startswith("```"))
-    t = t.withColumn("inside", F.sum(F.col("fence").cast("int")).over(running(key)) % 2 == 1).where(~F.col("fence") & ~F.col("inside") & ~T.is_table_line(F.col("line")))
+    """(key, plain): prose of markdown: no fences, tables or charts; marks of headings and lists dropped; single blank lines.
+
+    Whether a line stands in a fence is the parity of the fence lines up to it. A null text is empty; ``key`` names a document
+    (documents that share one are read as one) and may have any name; lines of one document are in one task.
+    """
+    t = docs.select(F.col(f"`{key}`").alias("_k"), F.posexplode(T.lines(F.col(text))).alias("line_no", "line")).withColumn("s", T.strip(F.col("line"))).withColumn("fence", F.col("s").startswith("```"))
+    t = t.withColumn("inside", F.sum(F.col("fence").cast("int")).over(running("_k")) % 2 == 1).where(~F.col("fence") & ~F.col("inside") & ~T.is_table_line(F.col("line")))
     t = t.withColumn("plain", T.plain_line(F.col("line")))
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "plain"))), lambda x: x["plain"]), "\n")
-    got = t.groupBy(key).agg(body.alias("b"))
-    out = docs.select(key).join(got, key, "left")
-    return out.select(key, T.strip(F.regexp_replace(F.coalesce("b", F.lit("")), "\n{3,}", "\n\n")).alias("plain"))
+    got = t.groupBy("_k").agg(body.alias("_b"))
+    out = docs.select(F.col(f"`{key}`").alias(key)).join(got, F.col(f"`{key}`").eqNullSafe(F.col("_k")), "left")
+    return out.select(F.col(f"`{key}`"), T.strip(F.regexp_replace(F.coalesce("_b", F.lit("")), "\n{3,}", "\n\n")).alias("plain"))
 
 
 def preceding_context(t: DataFrame, key: str, line: str) -> DataFrame:
-    """The closest earlier line that is not blank, beside each line."""
+    """The closest earlier line that is not blank, beside each line, as ``context``; null where there is none.
+
+    ``t`` has ``line_no``, which orders the lines of a ``key``; null lines are blank.
+    """
     before = W.partitionBy(key).orderBy("line_no").rowsBetween(W.unboundedPreceding, -1)
     return t.withColumn("context", F.last(F.nullif(T.strip(F.col(line)), F.lit("")), ignorenulls=True).over(before))
 
 
 def in_details(t: DataFrame, key: str, line: str) -> DataFrame:
-    """Whether each line is within a details block."""
+    """Whether each line is within a details block, as ``in_details``; ``t`` as for :func:`preceding_context`."""
     s = T.strip(F.col(line))
     flag = F.when(s.startswith("<details"), 1).when(s.startswith("</details"), 0)
     return t.withColumn("in_details", F.coalesce(F.last(flag, ignorenulls=True).over(running(key)), F.lit(0)) == 1)
@@ -171,11 +193,11 @@ def batches(df: DataFrame, order: list[str], size: int) -> DataFrame:
 
 
 def first_rows(df: DataFrame, key: list[str], order: list) -> DataFrame:
-    """The first row of each key."""
+    """The first row of each key, by ``order``; a null is a key of its own; among ties any one row stays."""
     return df.withColumn("_rn", F.row_number().over(W.partitionBy(*key).orderBy(*order))).where("_rn = 1").drop("_rn")
 
 
 def chunks(secs: DataFrame, page: str, title: str, order: str, body: Column) -> DataFrame:
-    """One text a page: its title and its formatted sections in order."""
+    """(page, title, chunk): one text a page, its title and its formatted sections in order; null sections are left out."""
     parts = F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), body.alias("b")))), lambda x: x["b"])
     return secs.groupBy(page, title).agg(F.concat(F.lit("[Page] "), F.col(title), F.lit("\n\n"), F.array_join(parts, "\n\n")).alias("chunk"))
