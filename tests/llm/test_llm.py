@@ -134,6 +134,10 @@ def test_toxicity(spark, docs, empty):
     assert near[1].score > near[0].score
     odd = toxicity.score_toxicity(docs, w, column="s_")
     assert odd.count() == len(ROWS) and odd.columns == [*docs.columns, "s_"] and odd.where("s_ is null").count() == 0
+    same = {}
+    for x in toxicity.score_toxicity(docs, w, ["doc_id", "text"]).collect():  # equal texts, repeated rows among them, have equal scores
+        assert same.setdefault(x.text or "", x.score) == x.score
+    assert toxicity.score_toxicity(docs.withColumn("text", F.col("text").cast("binary")), w, ["text"]).count() == len(ROWS)
     assert toxicity.score_toxicity(empty, w).count() == 0
     assert (toxicity.fit(train, labels.limit(0)) == 0).all()
 
@@ -428,6 +432,22 @@ def test_pages(spark):
     assert html_diff.extract_pages(df.limit(0)).count() == 0
 
 
+def test_very_long_pages(spark):
+    para = [" ".join(f"w{i}x{j}" for i in range(30)) for j in range(4000)]
+    rows = [(k, f"http://l.m/{k}", "<nav>menu</nav><div>site name</div>" + "".join(f"<p>{p}</p>" for p in para[k::2])) for k in (0, 1)]
+    got = {x.page_id: (x.text, x.n_chars) for x in html_diff.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[k] == ("\n".join(para[k::2]), len("\n".join(para[k::2]))) for k in (0, 1))
+
+
+def test_training_takes_whole_texts_within_the_bound():
+    import pyarrow as pa
+
+    rows = [(i % 2, "word " * (10 if i < 40 else 3000) + ("bad" if i % 2 else "good")) for i in range(60)]
+    batch = pa.RecordBatch.from_pydict({"toxic": pa.array([r[0] for r in rows], pa.int32()), "text": [r[1] for r in rows]})
+    (few,), (all_,) = (list(toxicity._fit(0.5, most)(iter([batch]))) for most in (3000, 10**9))
+    assert few.column(0)[0] != all_.column(0)[0] and len(few.column(0)[0].as_py()) == 8 * (toxicity.BUCKETS + 1)
+
+
 def test_noise_takes_no_content():
     text = html_diff.blocks
     assert text('<div class="layout has-sidebar"><article><p>one</article></div>') == ["one"]
