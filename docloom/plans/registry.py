@@ -374,13 +374,16 @@ def content_filter(spark, d):
     return got.select("conv_id", T.heading_key(F.col("heading")).alias("section_key"), "block")
 
 
-@query(f"SELECT conv_id, 'Assist' AS name, section_key FROM {_SECTIONS} WHERE section_key = 'assistant'")
+# the key of "Assist" is contained in one key, and of the others only "system" is similar enough (matching blocks "s", "st": 6/12)
+@query(f"SELECT conv_id, 'Assist' AS name, CASE WHEN bool_or(section_key = 'assistant') THEN 'assistant' ELSE 'system' END AS section_key FROM {_SECTIONS} WHERE section_key IN ('assistant', 'system') GROUP BY conv_id")
 def section_resolution(spark, d):
     s = wiki.sections(_wiki(spark, d), "conv_id", "md")
-    return wiki.resolve_section(s.select("conv_id", F.lit("Assist").alias("name")).distinct(), s, ["conv_id"], "name").where("tier < 3").select("conv_id", "name", "section_key")
+    return wiki.resolve_section(s.select("conv_id", F.lit("Assist").alias("name")).distinct(), s, ["conv_id"], "name").select("conv_id", "name", "section_key")
 
 
-@query()
+# no key contains "asistent" or is in it; the similarity is twice the letters in matching blocks over all letters
+@query(f"""SELECT conv_id, 'Asistent' AS name, section_key, 2 * CASE section_key WHEN 'assistant' THEN 7 ELSE 4 END / (8 + length(section_key))::DOUBLE AS score
+  FROM (SELECT conv_id, CASE WHEN bool_or(section_key = 'assistant') THEN 'assistant' ELSE 'system' END AS section_key FROM {_SECTIONS} WHERE section_key IN ('assistant', 'system') GROUP BY conv_id)""")
 def section_resolution_similar(spark, d):
     s = wiki.sections(_wiki(spark, d), "conv_id", "md")
     return wiki.resolve_section(s.select("conv_id", F.lit("Asistent").alias("name")).distinct(), s, ["conv_id"], "name").select("conv_id", "name", "section_key", "score")

@@ -165,8 +165,7 @@ def page_text_decode(spark, d):
 def mermaid_blocks(spark, d):
     text = "CASE turn % 3 WHEN 0 THEN 'a' || chr(10) || '```Mermaid' || chr(10) || ' graph ' || conv_id || chr(10) || '```' || role || chr(10) || 'b```mermaid' || chr(10) || 'x```' ELSE text END"
     m = table(spark, d, "conversations").select("conv_id", "turn", T.mermaid(expr(text)).alias("m"))
-    want = F.when(F.col("turn") % 3 == 0, F.replace(F.col("m.text"), F.lit("a\n" + ""), F.lit("a\n"))).otherwise(F.col("m.text"))
-    return m.select("conv_id", "turn", want.alias("text"), F.col("m.mermaid").alias("mermaid"))
+    return m.select("conv_id", "turn", F.col("m.text").alias("text"), F.col("m.mermaid").alias("mermaid"))
 
 
 _CITED = "CASE turn % 4 WHEN 0 THEN '**Sources:** [src/' || turn || '.py:3-4](), [b.md]()' WHEN 1 THEN '<details>' || chr(10) || '- [src/' || turn || '.py:9](x)' || chr(10) || '</details>' WHEN 2 THEN 'as [Source: c.py:5-' || (turn + 5) || '] says' ELSE '**sources:** [d.py:1]()' END"
@@ -218,21 +217,23 @@ def _fence(head: str, *body: str) -> str:
 
 @query(f"""SELECT conv_id, turn, CASE turn % 8 WHEN 0 THEN {_fence(f'see {_FILE}:1', 'role')} WHEN 1 THEN {_fence(f'see {_FILE}:1-2', 'role', "'second'")} WHEN 2 THEN 'see {_FILE}:9'
   WHEN 3 THEN {_fence(_FILE, 'role', "'second'")} WHEN 4 THEN '- {_FILE}:2' || chr(10) || {_fence(f'{_FILE}:2', "'second'")}
-  WHEN 5 THEN '```{_NL}{_FILE}:1{_NL}{_FILE}:1{_NL}' || '```python{_NL}' || role || '{_NL}{_NL}```{_NL}- {_FILE}:2{_NL}{_FILE}:2{_NL}```python{_NL}second{_NL}```{_NL}```'
-  WHEN 6 THEN '<details>[{_FILE}:1]()</details>' ELSE '[x](http://a.b) [y](no/file.py)' END AS text FROM conversations WHERE turn % 8 <> 5""")
+  WHEN 5 THEN '```{_NL}' || role || '{_NL}{_NL}' || role || '{_NL}```python{_NL}' || role || '{_NL}```{_NL}second{_NL}{_NL}second{_NL}```python{_NL}second{_NL}```{_NL}{_NL}```'
+  WHEN 6 THEN '<details>[{_FILE}:1]()</details>' ELSE '[x](http://a.b) [y](no/file.py)' END AS text FROM conversations""")
 def hydrated_sections(spark, d):
     c = table(spark, d, "conversations")
     files = c.select(F.col("conv_id").alias("repo"), expr(f"'{_FILE}'").alias("path"), F.expr("concat(role, char(10), 'second')").alias("text"))
-    secs = c.where("turn % 8 <> 5").select("conv_id", "turn", F.col("conv_id").alias("repo"), expr(_CITING).alias("text"))
+    secs = c.select("conv_id", "turn", F.col("conv_id").alias("repo"), expr(_CITING).alias("text"))
     return hydrate.hydrate_sections(secs, files, ["conv_id", "turn"], "text").select("conv_id", "turn", "text")
 
 
-@query(f"SELECT conv_id, turn, CASE turn % 3 WHEN 0 THEN {s_lines('text')}[1] WHEN 1 THEN text WHEN 2 THEN NULL END AS snippet FROM conversations WHERE NOT regexp_matches(text, '\\s$') AND {s_lines('text')}[1] <> '' AND NOT regexp_matches({s_lines('text')}[1], '\\s$')")
+def s_rstrip(x: str) -> str:
+    return rf"nullif(regexp_replace({x}, '\s+$', ''), '')"
+
+
+@query(f"SELECT conv_id, turn, CASE turn % 3 WHEN 0 THEN {s_rstrip(s_lines('text') + '[1]')} WHEN 1 THEN {s_rstrip('text')} END AS snippet FROM conversations")
 def file_snippets(spark, d):
-    start, end = F.when(F.col("turn") % 3 == 2, 100_000).otherwise(1), F.when(F.col("turn") % 3 == 1, 0).when(F.col("turn") % 3 == 0, -0 + 1).otherwise(100_002)
-    c = table(spark, d, "conversations").where(~F.col("text").rlike(r"\s$"))
-    c = c.where((F.get(T.lines(F.col("text")), F.lit(0)) != "") & ~F.get(T.lines(F.col("text")), F.lit(0)).rlike(r"\s$"))
-    return c.select("conv_id", "turn", hydrate.snippet(F.col("text"), start, end).alias("snippet"))
+    start, end = F.when(F.col("turn") % 3 == 2, 100_000).otherwise(1), F.when(F.col("turn") % 3 == 1, 0).when(F.col("turn") % 3 == 0, 1).otherwise(100_002)
+    return table(spark, d, "conversations").select("conv_id", "turn", hydrate.snippet(F.col("text"), start, end).alias("snippet"))
 
 
 # --- narratives ------------------------------------------------------------------------------------------------------
@@ -307,7 +308,7 @@ def block_results(spark, d):
     return narrate.narrate_blocks(b, ["p_partkey"]).select("p_partkey", "rewrite", "verdict", "critic", F.array_join("scaffold.code_anchors", ",").alias("anchors"))
 
 
-@query(f"SELECT conv_id, turn, coalesce(nullif({s_summary('CASE turn % 3 WHEN 0 THEN NULL ELSE text END')}, ''), role) AS summary FROM conversations".replace("coalesce(nullif(coalesce(", "coalesce(nullif(coalesce(", 1))
+@query(f"SELECT conv_id, turn, coalesce(nullif({s_summary('CASE turn % 3 WHEN 0 THEN NULL ELSE text END')}, ''), role) AS summary FROM conversations")
 def page_summaries(spark, d):
     pages = table(spark, d, "conversations").withColumn("body", F.when(F.col("turn") % 3 != 0, F.col("text")))
     return narrate.summarise_pages(pages, "role", "body").select("conv_id", "turn", "summary")
@@ -320,7 +321,7 @@ def joined_code_blocks(spark, d):
     return table(spark, d, "part").select("p_partkey", narrate.joined_code(blocks).alias("joined"))
 
 
-@query(f"SELECT conv_id, string_agg(text, chr(10) || chr(10) ORDER BY turn) FILTER (WHERE text <> '') AS text FROM conversations GROUP BY conv_id")
+@query("SELECT conv_id, string_agg(text, chr(10) || chr(10) ORDER BY turn) FILTER (WHERE text <> '') AS text FROM conversations GROUP BY conv_id")
 def concatenated_texts(spark, d):
     return sinks.concatenated(table(spark, d, "conversations"), "conv_id", "text", "turn")
 
@@ -411,7 +412,7 @@ def outline_page_join(spark, d):
     return pages.select("repo", F.col("node_title").alias("node"), F.col("page_title").alias("page")).distinct().unionByName(missing.select("repo", F.regexp_extract("error", "called (.*)", 1).alias("node"), F.lit(None).cast("string").alias("page")))
 
 
-@query(f"SELECT 'r' || conv_id AS repo, CASE WHEN {_GOOD} THEN '- 1 ' || {_TITLE} || chr(10) || '- 2 Notes' WHEN conv_id % 10 = 5 THEN '' ELSE '' END AS outline FROM (SELECT DISTINCT conv_id FROM conversations)")
+@query(f"SELECT 'r' || conv_id AS repo, CASE WHEN {_GOOD} THEN '- 1 ' || {_TITLE} || chr(10) || '- 2 Notes' ELSE '' END AS outline FROM (SELECT DISTINCT conv_id FROM conversations)")
 def wiki_page_texts(spark, d):
     rows = readers.index_targets(_targets(spark, d), _wiki_rows(spark, d)).where("content is not null")
     return rows.select("repo", readers.wiki_texts(F.col("content"))["outline"].alias("outline"))
