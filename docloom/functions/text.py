@@ -242,9 +242,19 @@ def repo_target(c: Column, default_commit: str | None = None) -> Column:
     return F.struct(strip(F.get(parts, F.lit(0))).alias("repo"), F.coalesce(F.nullif(strip(F.get(parts, F.lit(1))), F.lit("")), F.lit(default_commit)).alias("commit"))
 
 
+def output_name(repo: Column, commit: Column | None, kind: str, as_json: bool = False) -> Column:
+    """The name of an output file of a repository: dataset or narratives, as text or JSON."""
+    return F.concat(slug(repo, commit), F.lit(f"_{kind}.{'json' if as_json else 'txt'}"))
+
+
 def json_from_answer(c: Column) -> Column:
-    """The first brace to the last one of a model's answer; the answer itself without any."""
-    return F.when(c.contains("{") & c.contains("}"), F.regexp_extract(c, r"(?s)\{.*\}", 0)).otherwise(strip(c))
+    """What stands in a fence that begins a model's answer, its language included; else the first brace to the last one; else the answer."""
+
+    def part(t: Column) -> Column:
+        fenced, braced = F.regexp_extract(t, r"(?s)^```(.+?)```", 1), F.regexp_extract(t, r"(?s)\{.*\}", 0)
+        return F.when(t.rlike(r"(?s)^```.+?```"), strip(fenced)).when(braced != "", braced).otherwise(t)
+
+    return once(strip(c), part)
 
 
 def is_failure(verdict: Column, kind: Column) -> Column:

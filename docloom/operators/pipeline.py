@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..sources import readers
+from ..storage import materialize
 from . import hydrate, narrate, wiki
 
 
@@ -85,10 +86,11 @@ def run_wiki(
     decoded = found.where("error is null").select("repo", readers.wiki_texts(F.col("content")).alias("w")).select("repo", "w.*")
     errors = found.where("error is not null").select("repo", "error").unionByName(decoded.where("error is not null").select("repo", "error"))
     good = decoded.where("error is null")
-    secs = wiki.sections(good, "repo", "markdown")
+    # read several times below: the keys of the pages alone, then the texts
+    secs = materialize(wiki.sections(good, "repo", "markdown"), "sections")
     if max_sections:
         secs = secs.where(F.col("section_ord") < max_sections)
-    entries = page_entries(wiki.outline(good, "repo", "outline"), skip_pages, max_pages)
+    entries = materialize(page_entries(wiki.outline(good, "repo", "outline"), skip_pages, max_pages), "entries")
     none = good.join(entries.select("repo").distinct(), "repo", "left_anti").select("repo", F.lit("no page of the outline is left").alias("error"))
     pages, missing = join_pages(entries, secs, on_missing)
     rows = pages.select(
@@ -98,6 +100,8 @@ def run_wiki(
         rows = hydrate.hydrate_sections(rows, files, ["repo", "page_ord", "section_ord"], "text")
     rows = rows.withColumn("code_blocks", hydrate.code_blocks("text"))
     subsections = narrate.narrate(rows, ["repo", "page_ord", "section_ord"], writer, critic, rounds).withColumn("original_context", T.strip(F.col("original_context")))
+    if writer is not None or critic is not None:  # each answer is asked for once, whatever is read of the run
+        subsections = materialize(subsections, "subsections")
     chunks = page_chunks(subsections)
     errors = errors.unionByName(none)
     if on_missing == "error":
@@ -123,7 +127,7 @@ def hydrated_document(docs: DataFrame, files: DataFrame | None = None, title: st
     ``docs``: repo, outline, markdown. Items without a page are left out, but not the items below them. A page none of whose sections has a text is
     there as a whole. Blank parts leave no line. Null texts are empty; repositories without a page have the outline alone.
     """
-    secs = wiki.sections(docs, "repo", "markdown")
+    secs = materialize(wiki.sections(docs, "repo", "markdown"), "sections")
     entries, _ = join_pages(page_entries(wiki.outline(docs, "repo", "outline")), secs, "skip")
     entries = entries.withColumn("_bare", T.strip(F.col("text")) == "")
     rows = entries.withColumn("_some", F.max((~F.col("_bare") & (F.col("section_key") != "__intro__")).cast("int")).over(W.partitionBy("repo", "entry")))

@@ -220,9 +220,15 @@ def summary_paragraphs(spark, d):
     return table(spark, d, "conversations").select("conv_id", "turn", T.summary_paragraph(F.expr(_PAGE.replace("chr(10)", "char(10)"))).alias("summary"))
 
 
-@query("SELECT event_id, '{\"k\": ' || event_id || '}' AS found FROM events")
+@query("""SELECT event_id, CASE event_id % 4 WHEN 0 THEN '{"k": ' || event_id || '}' WHEN 1 THEN 'json' || chr(10) || '{"k": ' || event_id || '}' WHEN 2 THEN 'no braces ' || event_id ELSE '{a} and {' || event_id || '}' END AS found FROM events""")
 def json_from_answers(spark, d):
-    return table(spark, d, "events").select("event_id", T.json_from_answer(F.expr("concat('answer ```json {\"k\": ', event_id, '} ``` done')")).alias("found"))
+    text = """CASE event_id % 4 WHEN 0 THEN concat('answer ```json {"k": ', event_id, '} ``` done') WHEN 1 THEN concat(' ```json\\n{"k": ', event_id, '}\\n``` {x}') WHEN 2 THEN concat(' no braces ', event_id, ' ') ELSE concat('so {a} and {', event_id, '} ```') END"""
+    return table(spark, d, "events").select("event_id", T.json_from_answer(F.expr(text)).alias("found"))
+
+
+@query("SELECT p_partkey, replace(p_name, ' ', '_') || '_' || regexp_replace(substr(p_type, 1, 12), '[^A-Za-z0-9]', '-', 'g') || '_dataset.txt' AS dataset, replace(p_name, ' ', '_') || '_narratives.json' AS narratives FROM part")
+def output_names(spark, d):
+    return table(spark, d, "part").select("p_partkey", T.output_name(F.col("p_name"), F.col("p_type"), "dataset").alias("dataset"), T.output_name(F.col("p_name"), None, "narratives", True).alias("narratives"))
 
 
 # --- inspection ------------------------------------------------------------------------------------------------------
