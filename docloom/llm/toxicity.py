@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import load, text_of
 
+#: A bucket is held in two bytes.
 BUCKETS, DIM, GRAMS = 1 << 16, 8, (3, 4, 5)
 #: Labelled rows of either class that the model is fitted on at most, chosen by a hash of doc_id, and the characters that
 #: either class has at most: beyond them fewer rows are taken, and each with its whole text.
@@ -29,7 +30,7 @@ SAMPLE, SAMPLE_CHARS = 4000, 40_000_000
 EPOCHS, SEEN, BATCH, RATE = (12, 100), 96_000, 64, 1.0
 THRESHOLD = 0.3
 #: Words whose score, and whose buckets in training, are kept at a time.
-KEEP, BAG_KEEP = 250_000, 50_000
+KEEP, BAG_KEEP = 250_000, 200_000
 #: A word keeps digits and signs that stand for letters inside it, so that "id1ot" and "f*ol" are one word.
 _WORD = re.compile(r"[^\W_](?:[\w*@$!'\u2019]*[^\W_])?")
 
@@ -42,22 +43,24 @@ def buckets_of(word: str) -> list[int]:
     ]
 
 
-def _bag(text: str, seen: dict[str, list[int]]) -> tuple[np.ndarray, np.ndarray]:
+def _bag(text: str, seen: dict[str, array]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and their weights, which sum to one."""
-    rows, weights = array("l"), array("d")
+    rows, sizes, counts = array("H"), array("l"), array("l")
     for w, n in Counter(_WORD.findall(text.lower())).items():
         b = seen.get(w)
         if b is None:
             if len(seen) >= BAG_KEEP:
                 seen.clear()
-            b = seen[w] = buckets_of(w)
+            b = seen[w] = array("H", buckets_of(w))
         rows.extend(b)
-        weights.extend([n / len(b)] * len(b))
+        sizes.append(len(b))
+        counts.append(n)
     if not rows:
         return np.zeros(0, np.uint16), np.zeros(0, np.float32)
-    total = np.bincount(np.frombuffer(rows, np.int64), np.frombuffer(weights, np.float64))
+    size = np.frombuffer(sizes, np.int64)
+    total = np.bincount(np.frombuffer(rows, np.uint16), np.repeat(np.frombuffer(counts, np.int64) / size, size))
     at = np.flatnonzero(total)
-    return at.astype(np.uint16 if BUCKETS <= 1 << 16 else np.int32), (total[at] / total[at].sum()).astype(np.float32)
+    return at.astype(np.uint16), (total[at] / total[at].sum()).astype(np.float32)
 
 
 def train(texts: Iterable[str], labels: list[int], prior: float, seed: int = 7) -> tuple[np.ndarray, float]:
@@ -95,10 +98,10 @@ def train_bags(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[int], pri
             g = (p - np.eye(2)[y[some]]) * scale[y[some]][:, None] / len(some)
             g_soft, g_bias, g_mean = g.T @ mean, g.sum(axis=0), g @ soft
             spread = np.repeat(g_mean, sizes, axis=0) * weight[:, None]
-            own, back = np.unique(rows, return_inverse=True)
-            g_table = np.stack([np.bincount(back, spread[:, d], len(own)) for d in range(DIM)], axis=1)
-            acc_t[own] += (g_table**2).mean(axis=1)
-            table[own] -= rate * g_table / np.sqrt(acc_t[own])[:, None]
+            # over the whole table: rows that are not touched have a gradient of zero, and no sort is needed
+            g_table = np.stack([np.bincount(rows, spread[:, d], BUCKETS) for d in range(DIM)], axis=1)
+            acc_t += (g_table**2).mean(axis=1)
+            table -= (rate / np.sqrt(acc_t))[:, None] * g_table
             acc_s += g_soft**2
             acc_b += g_bias**2
             soft -= rate * g_soft / np.sqrt(acc_s)
