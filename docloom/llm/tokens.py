@@ -22,7 +22,7 @@ _PIECES = {
     "word_bpe_49k.json": re.compile(rf"[{_L}]+|[{_N}]|'(?:[stmd]|re|ve|ll)|[^\s{_L}{_N}]+"),
 }
 #: Pieces that one worker keeps; beyond it the memory starts anew, which costs time only.
-KEEP = 300_000
+KEEP = 600_000
 #: Characters encoded at a time.
 CHUNK = 1_000_000
 
