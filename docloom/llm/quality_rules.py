@@ -174,6 +174,7 @@ def robust_estimates(features: DataFrame) -> DataFrame:
     sound = sound.join(key.where(F.col("at_source") != POOL).select("lang", "source"), ["lang", "source"], "left_semi").unionByName(by_lang)
     if pools.where(F.col("at_lang") == POOL).head(1):
         sound = sound.unionByName(over_all)
+    sound = materialize(sound.select("lang", "source", *FEATURES), "sound")  # read some dozen times below
     size = materialize(sound.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n_all")), "sizes")
     schema = "lang string, source string, start int, mean array<double>, inv array<double>, logdet double"
     middles = sound.groupBy("lang", "source").agg(*(F.percentile_approx(a, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 1000).alias(f"q_{i}") for i, a in enumerate(FEATURES)))
