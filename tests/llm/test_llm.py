@@ -281,6 +281,29 @@ def test_shared_sentences(spark):
     assert got == {1: 1, 2: 1, 3: 0, 4: 0}
 
 
+def test_shared_runs_of_short_sentences(spark, docs, empty):
+    r = random.Random(14)
+    text = lambda n: [r.choice("abcdefghijklmnop") + str(r.randint(0, 99)) + r.choice(["", "", ".", "!!"]) for _ in range(n)]
+    rows = [[i, text(r.randint(0, 150))] for i in range(24)]
+    for a, b, n in [(0, 12, 51), (1, 13, 90), (2, 14, 50), (3, 15, 52), (3, 16, 70), (4, 17, 33)]:
+        part = text(n)
+        for k in (a, b):
+            at = r.randint(0, len(rows[k][1]))
+            rows[k][1] = rows[k][1][:at] + part + rows[k][1][at:]
+    rows += [[24, rows[5][1]], [25, ["q"] * 60], [26, ["q"] * 52]]  # a copy, and one word over and over
+    grams = [{tuple(w[i : i + 51]) for i in range(len(w) - 50)} for _, w in rows]
+    want = {a: sum(any(g in grams[b] for b, _ in rows if a != b) for g in grams[a]) for a, _ in rows}
+    assert min(want[k] for k in (0, 1, 3, 12, 13, 15, 16, 25, 26)) > 0 and want[2] == want[4] == 0
+    table = spark.createDataFrame([(a, " \n"[a % 2].join(w)) for a, w in rows] + [(0, " ".join(rows[0][1]))], "doc_id long, text string")
+    got = {x.doc_id: x for x in unit_dedup.unit_dedup(table, passage_words=51).collect()}
+    assert {k: x.n_shared_runs for k, x in got.items()} == want
+    assert got[1].n_shared_sentences == got[13].n_shared_sentences == 0  # by sentences these two pass as clean
+    assert {x.n_shared_runs for x in unit_dedup.unit_dedup(table).collect()} == {None}
+    got = Counter(x.n_shared_runs > 0 for x in unit_dedup.unit_dedup(docs, passage_words=51).collect())
+    assert got == Counter({False: len(ROWS) - 2, True: 2})  # LONG, and the same with a word more
+    assert unit_dedup.unit_dedup(empty, passage_words=51).count() == 0
+
+
 def test_passage_dedup_finds_wrapped_text(spark, docs, empty):
     words = [f"w{i}" for i in range(60)]
     wrap = lambda n: "\n".join(" ".join(words[i : i + n]) for i in range(0, 60, n))
